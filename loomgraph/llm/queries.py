@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from loomgraph.llm.boilerplate import main_body
 from loomgraph.llm.bpe import encode_column
 from loomgraph.llm.groups import match_groups
 from loomgraph.sources.tables import read_table
@@ -16,13 +17,18 @@ def p1_found(spark: SparkSession, d: str) -> DataFrame:
     return match_groups(read_table(spark, d, "matches", "left", "right", "status"))
 
 
+def p4_found(spark: SparkSession, d: str) -> DataFrame:
+    """Main-body lines of every page."""
+    return main_body(read_table(spark, d, "documents", "doc_id", "text", "page_title", "raw_path").filter("raw_path IS NOT NULL"))
+
+
 def p8_ids(spark: SparkSession, d: str) -> DataFrame:
     """Token ids of every document's whole text."""
     return encode_column(read_table(spark, d, "documents", "doc_id", "text"), "doc_id", "text")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"p1_found": p1_found, "p8_ids": p8_ids}
+    return {"p1_found": p1_found, "p4_found": p4_found, "p8_ids": p8_ids}
 
 
 def oracle_sql() -> dict[str, str]:
