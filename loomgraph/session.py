@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
@@ -27,12 +28,25 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` in the shared folder and drop its lineage.
+    """Write ``df`` as a table into the shared folder and read it back.
 
-    Reliable (not local) checkpoint: a lost executor costs nothing that was cut.
+    A lost executor costs nothing that was cut, and the plan starts anew: a
+    checkpoint keeps the constraints of the plan it ends, and in loops that
+    rename columns these grow until planning takes minutes. The tables go when
+    the application ends.
     """
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/loomgraph-{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(hadoop)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def cut_measured(df: DataFrame, **figures: Column) -> tuple[DataFrame, dict]:
+    """``cut`` that also returns aggregates of the rows, read back from the cut."""
+    out = cut(df)
+    return out, out.agg(*[c.alias(k) for k, c in figures.items()]).first().asDict()
 
 
 def spread(df: DataFrame, *keys: str) -> DataFrame:
