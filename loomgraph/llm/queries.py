@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from loomgraph.llm.boilerplate import main_body
 from loomgraph.llm.bpe import encode_column
 from loomgraph.llm.groups import match_groups
+from loomgraph.llm.mixing import Mix
 from loomgraph.llm.sentences import sentence_units
 from loomgraph.sources.tables import read_table
 
@@ -28,13 +29,27 @@ def p8_ids(spark: SparkSession, d: str) -> DataFrame:
     return encode_column(read_table(spark, d, "documents", "doc_id", "text"), "doc_id", "text")
 
 
+def _mix(spark: SparkSession, d: str) -> Mix:
+    return Mix(read_table(spark, d, "documents", "doc_id", "text", "source"), read_table(spark, d, "mix_targets"))
+
+
+def p9_mix(spark: SparkSession, d: str) -> DataFrame:
+    """The drawn documents with their number of repetitions."""
+    return _mix(spark, d).rows()
+
+
+def p9_shares(spark: SparkSession, d: str) -> DataFrame:
+    """Target and actual share of each source."""
+    return _mix(spark, d).shares()
+
+
 def p10_found(spark: SparkSession, d: str) -> DataFrame:
     """Sentence units of every document."""
     return sentence_units(read_table(spark, d, "documents", "doc_id", "text", "raw_path"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"p1_found": p1_found, "p4_found": p4_found, "p8_ids": p8_ids, "p10_found": p10_found}
+    return {"p1_found": p1_found, "p4_found": p4_found, "p8_ids": p8_ids, "p9_mix": p9_mix, "p9_shares": p9_shares, "p10_found": p10_found}
 
 
 def oracle_sql() -> dict[str, str]:
