@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from loomgraph.llm.boilerplate import main_body
 from loomgraph.llm.bpe import encode_column
 from loomgraph.llm.groups import match_groups
+from loomgraph.llm.linkage import match_projects
 from loomgraph.llm.mixing import Mix
 from loomgraph.llm.sentences import sentence_units
 from loomgraph.sources.tables import read_table
@@ -24,6 +25,20 @@ def p4_found(spark: SparkSession, d: str) -> DataFrame:
     return main_body(read_table(spark, d, "documents", "doc_id", "text", "page_title", "raw_path").filter("raw_path IS NOT NULL"))
 
 
+def _projects(spark: SparkSession, d: str) -> DataFrame:
+    return read_table(spark, d, "project", "canonical_id", "title", "alternate_titles", "grant_id", "start")
+
+
+def p6_found(spark: SparkSession, d: str) -> DataFrame:
+    """Pairs of project ids that describe the same project."""
+    return match_projects(_projects(spark, d)).select("id_a", "id_b")
+
+
+def p6_matches(spark: SparkSession, d: str) -> DataFrame:
+    """The same pairs with the rule that found them and its confidence."""
+    return match_projects(_projects(spark, d))
+
+
 def p8_ids(spark: SparkSession, d: str) -> DataFrame:
     """Token ids of every document's whole text."""
     return encode_column(read_table(spark, d, "documents", "doc_id", "text"), "doc_id", "text")
@@ -49,7 +64,7 @@ def p10_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"p1_found": p1_found, "p4_found": p4_found, "p8_ids": p8_ids, "p9_mix": p9_mix, "p9_shares": p9_shares, "p10_found": p10_found}
+    return {"p1_found": p1_found, "p4_found": p4_found, "p6_found": p6_found, "p6_matches": p6_matches, "p8_ids": p8_ids, "p9_mix": p9_mix, "p9_shares": p9_shares, "p10_found": p10_found}
 
 
 def oracle_sql() -> dict[str, str]:
