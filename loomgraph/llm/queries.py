@@ -11,6 +11,7 @@ from loomgraph.llm.bpe import encode_column
 from loomgraph.llm.groups import match_groups
 from loomgraph.llm.linkage import match_projects
 from loomgraph.llm.mixing import Mix
+from loomgraph.llm.names import variant_clusters, variant_pairs
 from loomgraph.llm.sentences import sentence_units
 from loomgraph.sources.tables import read_table
 
@@ -25,6 +26,20 @@ def p4_found(spark: SparkSession, d: str) -> DataFrame:
     return main_body(read_table(spark, d, "documents", "doc_id", "text", "page_title", "raw_path").filter("raw_path IS NOT NULL"))
 
 
+def _names(spark: SparkSession, d: str) -> DataFrame:
+    return variant_clusters(read_table(spark, d, "person", "canonical_id", "canonical_name"), read_table(spark, d, "matches", "left_label", "right_label"))
+
+
+def p5_found(spark: SparkSession, d: str) -> DataFrame:
+    """Pairs of spellings of the same person or organisation."""
+    return variant_pairs(_names(spark, d))
+
+
+def p5_clusters(spark: SparkSession, d: str) -> DataFrame:
+    """Every spelling with the centre of its cluster."""
+    return _names(spark, d)
+
+
 def _projects(spark: SparkSession, d: str) -> DataFrame:
     return read_table(spark, d, "project", "canonical_id", "title", "alternate_titles", "grant_id", "start")
 
@@ -64,7 +79,7 @@ def p10_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"p1_found": p1_found, "p4_found": p4_found, "p6_found": p6_found, "p6_matches": p6_matches, "p8_ids": p8_ids, "p9_mix": p9_mix, "p9_shares": p9_shares, "p10_found": p10_found}
+    return {"p1_found": p1_found, "p4_found": p4_found, "p5_found": p5_found, "p5_clusters": p5_clusters, "p6_found": p6_found, "p6_matches": p6_matches, "p8_ids": p8_ids, "p9_mix": p9_mix, "p9_shares": p9_shares, "p10_found": p10_found}
 
 
 def oracle_sql() -> dict[str, str]:
