@@ -193,21 +193,22 @@ def monge_elkan(a: str, b: str, known_a: set[str], known_b: set[str]) -> float:
     if len(y) - len(x) > 1 or len(x) < 2:
         return 0.0
     scores = sorted(((likeness(s, t, s in known_a and t in known_b), i, j) for i, s in enumerate(x) for j, t in enumerate(y)), reverse=True)
-    left, right, total, weakest = set(), set(), 0.0, 1.0
+    left, right, total, weakest = {}, set(), 0.0, 1.0
     initial = False
     for score, i, j in scores:
         if i in left or j in right or score < 0.8:
             continue
         if len(y[j]) == 1 and len(y) > len(x):
             continue  # a middle initial stands for no word of the shorter name
-        left.add(i), right.add(j)
+        left[i] = len(y[j])
+        right.add(j)
         total += score
         if min(len(x[i]), len(y[j])) == 1:
             initial = True
         else:
             weakest = min(weakest, 1.0 if score > 0.96 else score if len(x[i]) < 7 else score + 0.02)
     longest = max(range(len(x)), key=lambda i: len(x[i])), max(range(len(y)), key=lambda j: len(y[j]))
-    if len(left) < len(x) or longest[1] not in right or len(x[longest[0]]) < 3 or (initial and weakest < 0.94):
+    if len(left) < len(x) or longest[1] not in right or min(len(x[longest[0]]), left[longest[0]]) < 3 or (initial and weakest < 0.94):
         return 0.0
     return total / len(x) - 0.02 * (len(y) - len(x))
 
