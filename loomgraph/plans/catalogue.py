@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from loomgraph.plans import upkeep
+from loomgraph.plans import facts, graphs, texts, upkeep
 
-MODULES = [upkeep]
+MODULES = [graphs, facts, texts, upkeep]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
