@@ -213,11 +213,24 @@ def monge_elkan(a: str, b: str, known_a: set[str], known_b: set[str]) -> float:
     return total / len(x) - 0.02 * (len(y) - len(x))
 
 
+def possible(a: str, b: str) -> Column:
+    """A bound that every verified pair meets, cheap enough for each collision: each word
+    of the shorter name has one in the longer that begins alike or lies within two edits."""
+
+    def near(x: Column, y: Column) -> Column:
+        return (F.substring(x, 1, 1) == F.substring(y, 1, 1)) | (F.levenshtein(x, y, 2) >= 0)
+
+    x, y = F.split(a, " "), F.split(b, " ")
+    met = lambda p, q: F.forall(p, lambda v: F.exists(q, lambda w: near(v, w)))
+    sizes = F.abs(F.size(x) - F.size(y)) <= 1
+    return sizes & F.when(F.size(x) <= F.size(y), met(x, y)).otherwise(met(y, x))
+
+
 def verified(keys: DataFrame, bands: int) -> DataFrame:
     """(a, b, sim): candidate classes whose Monge-Elkan similarity is at least ACCEPT."""
     rows = cut(band_rows(keys, bands))
     pairs = rows.alias("l").join(rows.alias("r"), (F.col("l.band") == F.col("r.band")) & (F.col("l.h") == F.col("r.h")) & (F.col("l.key") < F.col("r.key")))
-    pairs = pairs.select(F.col("l.key").alias("a"), F.col("r.key").alias("b")).distinct()
+    pairs = pairs.select(F.col("l.key").alias("a"), F.col("r.key").alias("b")).filter(possible("a", "b")).distinct()
     known = cut(attested(keys))
     of = lambda c, k: known.select(F.col("key").alias(c), F.col("known").alias(k))
     full = pairs.join(of("a", "known_a"), "a").join(of("b", "known_b"), "b").select("a", "b", "known_a", "known_b")
