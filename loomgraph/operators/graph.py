@@ -28,12 +28,15 @@ def closure(edges: DataFrame, max_depth: int = 16) -> DataFrame:
 
 def hops(edges: DataFrame, seeds: DataFrame, depth: int) -> DataFrame:
     """(id, hop): breadth-first distance from the seeds, up to ``depth``; edges count both ways."""
-    both = edges.select("src", "dst").unionByName(edges.select(F.col("dst").alias("src"), F.col("src").alias("dst"))).distinct()
-    reached = seeds.select("id").distinct().withColumn("hop", F.lit(0))
+    both = cut(edges.select("src", "dst").unionByName(edges.select(F.col("dst").alias("src"), F.col("src").alias("dst"))).distinct())
+    frontier = cut(seeds.select("id").distinct().withColumn("hop", F.lit(0)))
+    reached = frontier
     for hop in range(1, depth + 1):
-        nearest = reached.filter(F.col("hop") == hop - 1)
-        step = nearest.join(both, F.col("id") == F.col("src")).select(F.col("dst").alias("id")).distinct().withColumn("hop", F.lit(hop))
-        reached = reached.unionByName(step.join(reached.select("id"), "id", "left_anti"))
+        step = frontier.join(both, F.col("id") == F.col("src")).select(F.col("dst").alias("id")).distinct()
+        frontier = cut(step.join(reached.select("id"), "id", "left_anti").withColumn("hop", F.lit(hop)))
+        if frontier.isEmpty():
+            break
+        reached = reached.unionByName(frontier)
     return reached
 
 

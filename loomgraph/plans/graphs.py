@@ -56,8 +56,8 @@ def size_distribution(spark, d):
     return z.groupBy(bucket.alias("bucket")).agg(F.count(F.lit(1)).alias("projects"))
 
 
-@query(f"""WITH {_MEM}, {_SIZE}, t AS (SELECT a.person AS a, b.person AS b, bool_or(z.n >= 8) AS big, bool_and(z.n >= 8) AS only FROM m a JOIN m b ON a.project = b.project AND a.person < b.person JOIN z ON z.project = a.project GROUP BY 1, 2)
-  SELECT count(*) AS ties, count(*) FILTER (big) AS through_large, count(*) FILTER (only) AS only_through_large FROM t""")
+@query(f"""WITH {_MEM}, {_SIZE}, t AS (SELECT a.person AS a, b.person AS b, bool_or(z.n >= 8) AS big, bool_and(z.n >= 8) AS solely FROM m a JOIN m b ON a.project = b.project AND a.person < b.person JOIN z ON z.project = a.project GROUP BY 1, 2)
+  SELECT count(*) AS ties, count(*) FILTER (big) AS through_large, count(*) FILTER (solely) AS only_through_large FROM t""")
 def large_project_concentration(spark, d):
     m = membership(spark, d)
     sized = m.join(m.groupBy("project").agg(F.count(F.lit(1)).alias("n")), "project")
@@ -276,7 +276,7 @@ def clusters_blocked(spark, d):
     return ER.blocked_clusters(v.filter("status IS NOT NULL").groupBy("a", "b", "status").agg(F.max("score").alias("score")))
 
 
-@query("""WITH c AS (SELECT DISTINCT unnest(source_refs) AS ref, canonical_id AS cluster FROM person), k AS (SELECT unnest(source_refs) AS ref, canonical_id, min(first_observed_at) AS at FROM person WHERE first_observed_at IS NOT NULL GROUP BY ALL),
+@query("""WITH c AS (SELECT DISTINCT unnest(source_refs) AS ref, canonical_id AS cluster FROM person), k AS (SELECT ref, canonical_id, min(t) AS at FROM (SELECT unnest(source_refs) AS ref, canonical_id, first_observed_at AS t FROM person WHERE first_observed_at IS NOT NULL) GROUP BY ref, canonical_id),
   ch AS (SELECT cluster, arg_min(k.canonical_id, (k.at, k.canonical_id)) AS old FROM c JOIN k USING (ref) GROUP BY 1), kp AS (SELECT old, min(cluster) AS cluster FROM ch GROUP BY 1), ls AS (SELECT cluster, min(ref) AS least FROM c GROUP BY 1)
   SELECT c.ref, coalesce(kp.old, 'ent_' || substr(sha1(ls.least), 1, 10)) AS canonical_id, kp.old IS NULL AS is_new FROM c JOIN ls USING (cluster) LEFT JOIN kp USING (cluster)""")
 def stable_ids(spark, d):
