@@ -226,20 +226,24 @@ def unambiguous(pairs: DataFrame) -> DataFrame:
     return judged.select(F.least("l", "r").alias("id_a"), F.greatest("l", "r").alias("id_b")).distinct()
 
 
-def precision(recs: DataFrame, rule: str) -> float:
-    """Smoothed precision of a rule over all its labelled pairs, vetoes aside.
+def precisions(recs: DataFrame) -> dict[str, float]:
+    """rule -> smoothed precision over all its labelled key groups, vetoes aside, in one job.
 
-    Both records state a grant number and a start: the same number and years at
-    most one apart is a hit, another number a miss. For rules that use the
-    number the start is the label.
+    Records that state a grant number and a start label a group: one number and
+    years at most one apart is a hit, anything else a miss. For rules that use
+    the number the start alone is the label, for the others the number.
     """
-    rows = _key_rows(recs, rule).select("key", "id", "number", "year")
-    groups = rows.filter("number IS NOT NULL AND year IS NOT NULL").groupBy("key").agg(
+    rows = None
+    for rule in RULES:
+        step = _key_rows(recs, rule).filter("number IS NOT NULL AND year IS NOT NULL").select(F.lit(rule).alias("rule"), "key", "number", "year")
+        rows = step if rows is None else rows.unionByName(step)
+    groups = rows.groupBy("rule", "key").agg(
         F.count(F.lit(1)).alias("n"), F.max("number").alias("n1"), F.min("number").alias("n0"), F.max("year").alias("y1"), F.min("year").alias("y0")
     ).filter("n > 1")
-    hit = (F.col("y1") - F.col("y0") <= 1) if rule.startswith("grant") else (F.col("n1") == F.col("n0"))
-    hits, trials = groups.agg(F.coalesce(F.sum(hit.cast("int")), F.lit(0)), F.count(F.lit(1))).first()
-    return (hits + PRIOR_HITS) / (trials + PRIOR_TRIALS)
+    hit = F.when(F.startswith(F.col("rule"), F.lit("grant")), F.col("y1") - F.col("y0") <= 1).otherwise(F.col("n1") == F.col("n0"))
+    counted = {r["rule"]: r for r in groups.groupBy("rule").agg(F.count_if(hit).alias("hits"), F.count(F.lit(1)).alias("trials")).collect()}
+    share = lambda r: ((r["hits"] if r else 0) + PRIOR_HITS) / ((r["trials"] if r else 0) + PRIOR_TRIALS)
+    return {rule: share(counted.get(rule)) for rule in RULES}
 
 
 def match_projects(projects: DataFrame) -> DataFrame:
@@ -250,9 +254,8 @@ def match_projects(projects: DataFrame) -> DataFrame:
     """
     recs = cut(records(projects))
     recs = cut(with_keys(recs, concepts(recs)))
-    found, open_ids, trust = None, None, {}
+    found, open_ids, trust = None, None, precisions(recs)
     for rule in RULES:
-        trust[rule] = precision(recs, rule)
         step = unambiguous(rule_pairs(recs, open_ids, rule)).withColumn("rule", F.lit(rule)).withColumn("confidence", F.lit(trust[rule]))
         found = cut(step if found is None else found.unionByName(step))
         resolved = found.select(F.col("id_b").alias("id")).distinct()  # the least of each group goes on, for the others
