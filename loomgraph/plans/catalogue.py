@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from loomgraph.plans import facts, graphs, texts, upkeep
+from loomgraph.plans import facts, graphs, texts, upkeep, views
 
-MODULES = [graphs, facts, texts, upkeep]
+MODULES = [graphs, facts, texts, views, upkeep]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
