@@ -96,3 +96,16 @@ def test_streams(spark, tmp_path):
     q = observations.deduplicated(stream, "id", "ts").writeStream.foreachBatch(observations.upsert_sink(f"{tmp_path}/out", ["id"])).option("checkpointLocation", f"{tmp_path}/c").trigger(availableNow=True).start()
     q.awaitTermination(60)
     assert spark.read.parquet(f"{tmp_path}/out/v0").count() == 2 or spark.read.parquet(f"{tmp_path}/out/v1").count() == 2
+
+
+def test_betweenness_and_communities(spark):
+    from loomgraph.operators import centrality
+
+    path = spark.createDataFrame([("a", "b"), ("b", "c"), ("c", "d"), ("c", "d"), ("b", "b")], "src string, dst string")
+    assert {r.id: r.betweenness for r in centrality.betweenness(path).collect()} == {"a": 0.0, "b": 2.0, "c": 2.0, "d": 0.0}
+    square = spark.createDataFrame([("a", "b"), ("b", "c"), ("c", "d"), ("d", "a")], "src string, dst string")
+    assert {r.betweenness for r in centrality.betweenness(square).collect()} == {0.5}
+    cliques = [(f"{s}{i}", f"{s}{j}") for s in "xy" for i in range(5) for j in range(i)] + [("x0", "y0")]
+    got = {r.id: r.community for r in centrality.communities(spark.createDataFrame(cliques, "src string, dst string")).collect()}
+    assert len({got[f"x{i}"] for i in range(5)}) == 1 and len({got[f"y{i}"] for i in range(5)}) == 1 and got["x1"] != got["y1"]
+    assert centrality.communities(path.limit(0)).count() == 0
