@@ -6,8 +6,8 @@ over the padded q-grams of their words; the number of bands follows from the
 collision curve for a wished recall at a given similarity. Candidates are
 verified by Monge-Elkan similarity: the mean, over the words of the shorter
 name, of the best likeness to a word of the longer one. Two words that are both
-well attested, that is seen beside several different words, are never typing
-errors of each other. Verified classes are clustered as stars: heavy classes
+well attested, that is seen beside several different words, and neither far
+rarer than the other, are never typing errors of each other. Verified classes are clustered as stars: heavy classes
 become centres, and lighter ones join the likest centre next to them.
 """
 
@@ -31,6 +31,8 @@ Q, ROWS = 2, 4
 SIMILARITY, RECALL = 0.5, 0.99
 #: A word is attested if it stands beside so many different words.
 PARTNERS = 3
+#: and beside at least this share of the other word's partners.
+RELATIVE = 0.08
 #: Least Monge-Elkan similarity of two spellings of one name.
 ACCEPT = 0.85
 
@@ -57,11 +59,13 @@ def bands_for(similarity: float = SIMILARITY, recall: float = RECALL, rows: int
 
 
 def fold(name: str) -> list[str]:
-    """Sorted words without case, accents, titles, and with digits read as letters."""
+    """Sorted words without case, accents, titles, and with digits read as letters; a
+    word cut short by a point keeps the point."""
     s = "".join(c for c in normalize("NFKD", name) if not combining(c)).lower()
-    words = re.findall(r"[^\W_]+", s)
+    words = re.findall(r"[^\W_]+\.?", s)
+    words = [w if len(w) > 2 else w.rstrip(".") for w in words]  # an initial needs no point
     words = [re.sub(r"(?<=[a-z])1|1(?=[a-z])", "l", re.sub(r"(?<=[a-z])0|0(?=[a-z])", "o", w)) for w in words]
-    kept = [w for w in words if w not in TITLES] or words
+    kept = [w for w in words if w.rstrip(".") not in TITLES] or words
     return sorted(kept)
 
 
@@ -124,12 +128,14 @@ def band_rows(keys: DataFrame, bands: int) -> DataFrame:
 
 
 def attested(keys: DataFrame) -> DataFrame:
-    """(key, known): the words of each key that stand beside at least PARTNERS different words."""
+    """(key, known, counts): the words of each key that stand beside at least PARTNERS
+    different words, and beside how many."""
     words = F.filter(F.split("key", " "), lambda w: F.length(w) > 1)
     pairs = keys.select(F.explode(words).alias("w"), words.alias("all")).select("w", F.explode("all").alias("o")).filter("w <> o").distinct()
-    many = pairs.groupBy("w").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= PARTNERS).select("w", F.lit(True).alias("k"))
-    each = keys.select("key", F.explode(F.split("key", " ")).alias("w")).join(many, "w", "left")
-    return each.groupBy("key").agg(F.collect_set(F.when(F.col("k"), F.col("w"))).alias("known"))
+    many = pairs.groupBy("w").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= PARTNERS)
+    each = keys.select("key", F.explode(F.split("key", " ")).alias("w")).distinct().join(many, "w", "left")
+    met = F.collect_list(F.when(F.col("n").isNotNull(), F.struct("w", "n")))
+    return each.groupBy("key").agg(met.alias("m")).select("key", F.col("m.w").alias("known"), F.col("m.n").alias("counts"))
 
 
 @lru_cache(200_000)
@@ -165,6 +171,14 @@ def likeness(a: str, b: str, both_known: bool) -> float:
         a, b = b, a
     if len(a) == 1:
         return 0.95 if b[0] == a else 0.0
+    if a[-1] == "." or b[-1] == ".":  # a word cut short
+        short, long = (a, b) if a[-1] == "." else (b, a)
+        short, long = short.rstrip("."), long.rstrip(".")
+        if long.startswith(short) or (len(short) <= 4 and _in_order(short, long)):
+            return 0.93
+        a, b = sorted((short, long), key=len)
+    if len(a) >= 6 and b[len(a) :] in ("a", "e", "ja", "je") and b.startswith(a):  # possessive endings
+        return 0.95
     if (a, b) in SHORT:
         return 0.93
     if both_known:
@@ -183,7 +197,12 @@ def likeness(a: str, b: str, both_known: bool) -> float:
     return 0.0
 
 
-def monge_elkan(a: str, b: str, known_a: set[str], known_b: set[str]) -> float:
+def both_attested(s: str, t: str, known_a: dict[str, int], known_b: dict[str, int]) -> bool:
+    low, high = sorted((known_a.get(s, 0), known_b.get(t, 0)))
+    return low >= PARTNERS and low >= RELATIVE * high
+
+
+def monge_elkan(a: str, b: str, known_a: dict[str, int], known_b: dict[str, int]) -> float:
     """Similarity of two keys; 0 unless every word of the shorter one finds a partner of
     its own and the longest words are among them. At most one word may stay alone, and an
     initial needs the other words to be spelled alike but for one edit of a long word."""
@@ -192,7 +211,7 @@ def monge_elkan(a: str, b: str, known_a: set[str], known_b: set[str]) -> float:
         x, y, known_a, known_b = y, x, known_b, known_a
     if len(y) - len(x) > 1 or len(x) < 2:
         return 0.0
-    scores = sorted(((likeness(s, t, s in known_a and t in known_b), i, j) for i, s in enumerate(x) for j, t in enumerate(y)), reverse=True)
+    scores = sorted(((likeness(s, t, both_attested(s, t, known_a, known_b)), i, j) for i, s in enumerate(x) for j, t in enumerate(y)), reverse=True)
     left, right, total, weakest = {}, set(), 0.0, 1.0
     initial = False
     for score, i, j in scores:
@@ -232,14 +251,14 @@ def verified(keys: DataFrame, bands: int) -> DataFrame:
     pairs = rows.alias("l").join(rows.alias("r"), (F.col("l.band") == F.col("r.band")) & (F.col("l.h") == F.col("r.h")) & (F.col("l.key") < F.col("r.key")))
     pairs = pairs.select(F.col("l.key").alias("a"), F.col("r.key").alias("b")).filter(possible("a", "b")).distinct()
     known = cut(attested(keys))
-    of = lambda c, k: known.select(F.col("key").alias(c), F.col("known").alias(k))
-    full = pairs.join(of("a", "known_a"), "a").join(of("b", "known_b"), "b").select("a", "b", "known_a", "known_b")
+    of = lambda c: known.select(F.col("key").alias(c), F.col("known").alias(f"{c}_w"), F.col("counts").alias(f"{c}_n"))
+    full = pairs.join(of("a"), "a").join(of("b"), "b").select("a", "b", "a_w", "a_n", "b_w", "b_n")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             out = []
-            for x, y, p, q in zip(*(c.to_pylist() for c in b.columns)):
-                sim = monge_elkan(x, y, set(p), set(q))
+            for x, y, p, m, q, n in zip(*(c.to_pylist() for c in b.columns)):
+                sim = monge_elkan(x, y, dict(zip(p, m)), dict(zip(q, n)))
                 if sim >= ACCEPT:
                     out.append((x, y, sim))
             yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in out], pa.string()), pa.array([r[1] for r in out], pa.string()), pa.array([r[2] for r in out], pa.float64())], names=["a", "b", "sim"])
