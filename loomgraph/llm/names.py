@@ -38,6 +38,8 @@ ACCEPT = 0.85
 
 # Academic titles and forms of address.
 TITLES = set("dr prof phd csc dsc habil ifj id ozv mr mrs ms emeritus professor".split())
+# Short forms of kinds of organisations, in words.
+KINDS = {"kut. csop.": "kutatocsoport", "kut. kp.": "kutatokozpont", "kut. int.": "kutatointezet", "inst.": "intezet", "dept.": "tanszek"}
 # Hungarian given names and their everyday forms (folded).
 NICKNAMES = {
     "zoltan": "zoli", "katalin": "kati kata kato", "julianna": "juli julcsi", "julia": "juli julcsi", "erzsebet": "erzsi bozsi zsoka", "istvan": "pista isti",
@@ -62,6 +64,9 @@ def fold(name: str) -> list[str]:
     """Sorted words without case, accents, titles, and with digits read as letters; a
     word cut short by a point keeps the point."""
     s = "".join(c for c in normalize("NFKD", name) if not combining(c)).lower()
+    for short, kind in KINDS.items():
+        if short in s:
+            s = re.sub(rf"(?<!\w){re.escape(short)}", f"{kind} ", s)
     words = re.findall(r"[^\W_]+\.?", s)
     words = [w if len(w) > 2 else w.rstrip(".") for w in words]  # an initial needs no point
     words = [re.sub(r"(?<=[a-z])1|1(?=[a-z])", "l", re.sub(r"(?<=[a-z])0|0(?=[a-z])", "o", w)) for w in words]
