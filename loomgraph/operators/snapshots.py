@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loomgraph.session import cut
+from loomgraph.session import cut, cut_measured
 
 CONTAINER = 32_768
 
@@ -93,7 +93,7 @@ def snapshot_changes(rows: DataFrame, key: str, date: str, recency: str, payload
     vectors = placed.groupBy("bucket", "date").agg(
         F.bitmap_construct_agg("bit").alias("map"), F.array_sort(F.collect_list(F.struct("bit", "a", "b"))).alias("v")
     ).select("bucket", "date", "map", F.col("v.a").alias("va"), F.col("v.b").alias("vb"))
-    vectors = cut(vectors)
+    vectors, size = cut_measured(vectors, n=F.count(F.lit(1)))
     later = F.broadcast(follows)  # one row a delivery
     current = vectors.join(F.broadcast(follows.select(F.col("next").alias("date"))), "date").select(
         "bucket", "date", F.struct("map", "va", "vb").alias("cur"), F.lit(None).cast("struct<map:binary,va:array<bigint>,vb:array<bigint>>").alias("prev")
@@ -104,6 +104,8 @@ def snapshot_changes(rows: DataFrame, key: str, date: str, recency: str, payload
     pairs = current.unionByName(previous).groupBy("bucket", "date").agg(
         F.first("cur", ignorenulls=True).alias("c"), F.first("prev", ignorenulls=True).alias("p")
     ).select("bucket", "date", F.col("c.map").alias("cur"), F.col("p.map").alias("prev"), F.col("c.va").alias("cur_a"), F.col("c.vb").alias("cur_b"), F.col("p.va").alias("prev_a"), F.col("p.vb").alias("prev_b"))
+    # a container's vectors take up to a megabyte: few of them to a partition, so that Arrow batches stay small
+    pairs = pairs.repartition(size["n"] // 64 + 1, "bucket", "date")
     found = pairs.mapInArrow(_compare, "bucket bigint, date date, bit bigint, change_type string")
     return found.select((F.col("bucket") * CONTAINER + F.col("bit")).alias("ordinal"), "date", "change_type").join(ordinals, "ordinal").select(
         F.col("key").alias(key), F.date_format("date", "yyyy-MM-dd").alias("snapshot_date"), "change_type"
