@@ -178,7 +178,7 @@ def _key_rows(recs: DataFrame, rule: str) -> DataFrame:
         rows = near.withColumn("key", F.concat_ws("|", F.col("y").cast("string"), "k")).drop("y")
     else:
         rows = spread(F.concat("full", "rare")).withColumn("key", F.col("k"))
-    return rows.drop("k").dropDuplicates(["key", "id"])
+    return rows.select("key", "id", "number", "start", "year", "wave", "forms").dropDuplicates(["key", "id"])
 
 
 def _agree(a: str, b: str) -> Column:
