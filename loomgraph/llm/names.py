@@ -238,11 +238,16 @@ def monge_elkan(a: str, b: str, known_a: dict[str, int], known_b: dict[str, int]
 
 
 def possible(a: str, b: str) -> Column:
-    """A bound that every verified pair meets, cheap enough for each collision: each word
-    of the shorter name has one in the longer that begins alike or lies within two edits."""
+    """A bound that every verified pair meets, cheap enough for each collision: each word of
+    the shorter name has one in the longer that ``likeness`` may accept, that is one that begins
+    alike, lies within two edits (a neighbour swap is one, but two here), is its everyday form
+    or differs by rn for m. Points of words cut short do not count."""
+    either = [f"{v} {w}" for pair in sorted(SHORT) for v, w in (pair, pair[::-1])]
 
     def near(x: Column, y: Column) -> Column:
-        return (F.substring(x, 1, 1) == F.substring(y, 1, 1)) | (F.levenshtein(x, y, 2) >= 0)
+        s, t = F.rtrim(x, F.lit(".")), F.rtrim(y, F.lit("."))
+        swaps = (F.least(F.length(s), F.length(t)) >= 6) & (F.levenshtein(s, t, 4) >= 0)
+        return (F.substring(x, 1, 1) == F.substring(y, 1, 1)) | (F.levenshtein(s, t, 2) >= 0) | F.concat_ws(" ", s, t).isin(either) | (F.replace(s, F.lit("rn"), F.lit("m")) == F.replace(t, F.lit("rn"), F.lit("m"))) | swaps
 
     x, y = F.split(a, " "), F.split(b, " ")
     met = lambda p, q: F.forall(p, lambda v: F.exists(q, lambda w: near(v, w)))

@@ -102,6 +102,23 @@ def test_name_similarity_and_curve():
     assert 1 - (1 - 0.5**4) ** b >= 0.99 > 1 - (1 - 0.5**4) ** (b - 1)
 
 
+def test_possible_holds_for_every_verified_pair(spark):
+    pairs = [(f"kodvavas {s}", f"kodvavas {n}") for s, n in sorted(names.SHORT)]
+    pairs += [("badcefgh tibor", "abdcfegh tibor"), ("rnakarn tibor", "makam tibor"), ("kopasy kut.", "kopasy kutatocsoport"), ("abcdefg. tibor", "bacdegfhi tibor"), ("k tibor", "kopasy tibor")]
+    rng = random.Random(8)
+    for _ in range(300):  # swaps and changes of letters, at the front too
+        w = [rng.choice("abcdefrnm") for _ in range(rng.randrange(6, 10))]
+        v = list(w)
+        for i in rng.sample(range(len(v) - 1), 2):
+            v[i], v[i + 1] = (v[i + 1], v[i]) if rng.random() < 0.7 else (rng.choice("xyz"), v[i + 1])
+        pairs.append((f"{''.join(w)} tibor", f"{''.join(v)} tibor"))
+    pairs = [tuple(" ".join(sorted(k.split(" "))) for k in p) for p in pairs]
+    met = {(r.a, r.b) for r in spark.createDataFrame(pairs, "a string, b string").filter(names.possible(F.col("a"), F.col("b"))).collect()}
+    sure = {p for p in pairs if names.monge_elkan(*p, {}, {}) >= names.ACCEPT}
+    assert len(sure) > 300 and sure <= met
+    assert clustered(spark, ["Sirbürófi Pista", "Sirbürófi István"]) == {("Sirbürófi István", "Sirbürófi Pista")}
+
+
 def test_name_candidates_reach_the_wished_recall(spark):
     rng = random.Random(4)
     base = ["".join(rng.choice(["ba", "ke", "zo", "mi", "tu", "ra", "ne"]) for _ in range(5)) + " " + rng.choice(["anna", "tibor", "sandor"]) for _ in range(150)]
