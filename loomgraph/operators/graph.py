@@ -8,11 +8,12 @@ from pyspark.sql import functions as F
 from loomgraph.session import cut
 
 
-def closure(edges: DataFrame, max_depth: int = 16) -> DataFrame:
+def closure(edges: DataFrame, max_depth: int = 1000) -> DataFrame:
     """(node, ancestor, depth): all nodes reached along edges, shortest depth, cycle-safe.
 
     Level by level: a level joins the new pairs with the edges and keeps the pairs
     not met before, so cycles end. The start pairs (node, node, 0) are not included.
+    Ends when a level is empty; chains longer than ``max_depth`` raise.
     """
     edges = cut(edges.select("src", "dst").filter("src IS NOT NULL AND dst IS NOT NULL AND src <> dst").distinct())
     level = edges.select(F.col("src").alias("node"), F.col("dst").alias("ancestor"), F.lit(1).alias("depth"))
@@ -21,9 +22,9 @@ def closure(edges: DataFrame, max_depth: int = 16) -> DataFrame:
         step = level.join(edges, F.col("ancestor") == F.col("src")).select("node", F.col("dst").alias("ancestor")).filter("node <> ancestor").distinct()
         level = cut(step.join(found.select("node", "ancestor"), ["node", "ancestor"], "left_anti").withColumn("depth", F.lit(depth)))
         if level.isEmpty():
-            break
+            return found
         found = found.unionByName(level)
-    return found
+    raise RuntimeError("no fixpoint within max_depth")
 
 
 def hops(edges: DataFrame, seeds: DataFrame, depth: int) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from datetime import datetime
 
+import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -37,6 +38,14 @@ def test_closure_ends_on_cycles(spark):
     assert {(r.id, r.hop) for r in graph.hops(e.dropna(), spark.createDataFrame([("d",)], "id string"), 2).collect()} == {("d", 0), ("a", 1), ("b", 2), ("c", 2)}
 
 
+def test_closure_has_no_depth_limit(spark):
+    e = spark.createDataFrame([(f"u{i:02d}", f"u{i + 1:02d}") for i in range(20)], "src string, dst string")
+    got = {(r.node, r.ancestor): r.depth for r in graph.closure(e).collect()}
+    assert got == {(f"u{i:02d}", f"u{j:02d}"): j - i for i in range(21) for j in range(i + 1, 21)}
+    with pytest.raises(RuntimeError):
+        graph.closure(e, max_depth=5)
+
+
 def test_ranks_and_top_share(spark):
     v = spark.createDataFrame([(i, x) for i, x in enumerate([5, 1, 1, 9])], "i int, v int")
     assert [r.avg_rank for r in average_rank(v, "v").orderBy("i").collect()] == [3, 1.5, 1.5, 4]
