@@ -136,11 +136,11 @@ def hierarchy_closure(spark, d):
   p AS (SELECT DISTINCT source_id AS unit, target_id AS parent FROM relations WHERE type = 'PART_OF' AND source_id IS NOT NULL AND target_id IS NOT NULL AND source_id <> target_id)
   SELECT top, count(DISTINCT person) AS people FROM (SELECT person, unit AS top FROM a UNION SELECT a.person, p.parent FROM a JOIN p USING (unit)) GROUP BY 1""")
 def unit_tree_counts(spark, d):
-    """People of each unit and of its direct sub-units, counted once."""
+    """People of each unit and of all units below it, counted once. The SQL goes one level down only."""
     r = read_table(spark, d, "relations", "type", "source_id", "target_id").dropna()
     a = r.filter("type = 'AFFILIATED_WITH'").select(F.col("source_id").alias("person"), F.col("target_id").alias("unit")).distinct()
-    p = r.filter("type = 'PART_OF' AND source_id <> target_id").select(F.col("source_id").alias("unit"), F.col("target_id").alias("parent")).distinct()
-    up = a.join(p, "unit").select("person", F.col("parent").alias("top"))
+    above = G.closure(r.filter("type = 'PART_OF'").select(F.col("source_id").alias("src"), F.col("target_id").alias("dst")))
+    up = a.join(above, F.col("unit") == F.col("node")).select("person", F.col("ancestor").alias("top"))
     return a.select("person", F.col("unit").alias("top")).unionByName(up).groupBy("top").agg(F.countDistinct("person").alias("people"))
 
 

@@ -10,6 +10,7 @@ from loomgraph.functions import dates, text, urls
 from loomgraph.operators import graph, resolution
 from loomgraph.operators.claims import merge_partial_dates
 from loomgraph.operators.windows import average_rank, top_share
+from loomgraph.plans import graphs
 from loomgraph.sources import files
 from loomgraph.sources.pages import page_elements
 from loomgraph.streaming import observations
@@ -46,6 +47,17 @@ def test_closure_has_no_depth_limit(spark):
         graph.closure(e, max_depth=5)
 
 
+def related(spark, folder, rows):
+    spark.createDataFrame(rows, "type string, source_id string, target_id string").write.parquet(f"{folder}/relations.parquet")
+    return str(folder)
+
+
+def test_unit_tree_counts_go_all_the_way_down(spark, tmp_path):
+    chain = [("PART_OF", f"u{i}", f"u{i + 1}") for i in range(4)]
+    d = related(spark, tmp_path, [*chain, ("PART_OF", "u4", "u4"), ("AFFILIATED_WITH", "p", "u0"), ("AFFILIATED_WITH", "p", "u2"), ("AFFILIATED_WITH", "q", "u3")])
+    assert {r.top: r.people for r in graphs.unit_tree_counts(spark, d).collect()} == {"u0": 1, "u1": 1, "u2": 1, "u3": 2, "u4": 2}
+
+
 def test_ranks_and_top_share(spark):
     v = spark.createDataFrame([(i, x) for i, x in enumerate([5, 1, 1, 9])], "i int, v int")
     assert [r.avg_rank for r in average_rank(v, "v").orderBy("i").collect()] == [3, 1.5, 1.5, 4]
