@@ -147,10 +147,12 @@ def unit_tree_counts(spark, d):
 @query("""WITH e AS (SELECT DISTINCT source_id AS s, target_id AS t FROM relations WHERE type = 'PART_OF' AND source_id IS NOT NULL AND target_id IS NOT NULL)
   SELECT a.s AS unit, a.t AS other FROM e a JOIN e b ON a.s = b.t AND a.t = b.s""")
 def cycle_check(spark, d):
-    """Units that are part of each other (two-step cycles; self-parts included)."""
+    """The PART_OF edges that lie on a cycle of any length, self-parts included. The SQL sees two steps only."""
     e = read_table(spark, d, "relations", "type", "source_id", "target_id").filter("type = 'PART_OF'").select("source_id", "target_id").dropna().distinct()
-    back = e.select(F.col("target_id").alias("source_id"), F.col("source_id").alias("target_id"))
-    return e.join(back, ["source_id", "target_id"], "left_semi").select(F.col("source_id").alias("unit"), F.col("target_id").alias("other"))
+    above = G.closure(e.select(F.col("source_id").alias("src"), F.col("target_id").alias("dst")))
+    back = above.select(F.col("ancestor").alias("source_id"), F.col("node").alias("target_id"))
+    own = e.filter("source_id = target_id")
+    return e.join(back, ["source_id", "target_id"], "left_semi").unionByName(own).select(F.col("source_id").alias("unit"), F.col("target_id").alias("other"))
 
 
 @query("""WITH c AS (SELECT target_id AS unit, count(DISTINCT source_id) AS n FROM relations WHERE type = 'AFFILIATED_WITH' AND target_id IS NOT NULL GROUP BY 1), t AS (SELECT sum(n) AS t FROM c)

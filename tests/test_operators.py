@@ -58,6 +58,12 @@ def test_unit_tree_counts_go_all_the_way_down(spark, tmp_path):
     assert {r.top: r.people for r in graphs.unit_tree_counts(spark, d).collect()} == {"u0": 1, "u1": 1, "u2": 1, "u3": 2, "u4": 2}
 
 
+def test_cycles_of_any_length(spark, tmp_path):
+    edges = [("a", "b"), ("b", "c"), ("c", "a"), ("x", "a"), ("c", "y"), ("s", "s"), ("m", "n"), ("n", "m"), ("y", None)]
+    d = related(spark, tmp_path, [("PART_OF", *e) for e in edges] + [("AFFILIATED_WITH", "y", "c")])
+    assert sorted(graphs.cycle_check(spark, d).collect()) == [("a", "b"), ("b", "c"), ("c", "a"), ("m", "n"), ("n", "m"), ("s", "s")]
+
+
 def test_ranks_and_top_share(spark):
     v = spark.createDataFrame([(i, x) for i, x in enumerate([5, 1, 1, 9])], "i int, v int")
     assert [r.avg_rank for r in average_rank(v, "v").orderBy("i").collect()] == [3, 1.5, 1.5, 4]
