@@ -5,26 +5,30 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomgraph.session import cut
+from loomgraph.operators.components import labelled
+from loomgraph.session import cut, cut_measured
 
 
-def closure(edges: DataFrame, max_depth: int = 1000) -> DataFrame:
+def closure(edges: DataFrame, max_rounds: int = 40) -> DataFrame:
     """(node, ancestor, depth): all nodes reached along edges, shortest depth, cycle-safe.
 
-    Level by level: a level joins the new pairs with the edges and keeps the pairs
-    not met before, so cycles end. The start pairs (node, node, 0) are not included.
-    Ends when a level is empty; chains longer than ``max_depth`` raise.
+    By doubling: a round joins the reached pairs with themselves, so paths of up to
+    2**k edges are known after k rounds and a hierarchy of 20 levels takes five.
+    The start pairs (node, node, 0) are not included, nor a node as its own
+    ancestor. Ends when a round finds no new pair; ``max_rounds`` stands for
+    paths of 2**40 edges, beyond which it raises.
     """
-    edges = cut(edges.select("src", "dst").filter("src IS NOT NULL AND dst IS NOT NULL AND src <> dst").distinct())
-    level = edges.select(F.col("src").alias("node"), F.col("dst").alias("ancestor"), F.lit(1).alias("depth"))
-    found = level
-    for depth in range(2, max_depth + 1):
-        step = level.join(edges, F.col("ancestor") == F.col("src")).select("node", F.col("dst").alias("ancestor")).filter("node <> ancestor").distinct()
-        level = cut(step.join(found.select("node", "ancestor"), ["node", "ancestor"], "left_anti").withColumn("depth", F.lit(depth)))
-        if level.isEmpty():
-            return found
-        found = found.unionByName(level)
-    raise RuntimeError("no fixpoint within max_depth")
+    figures = {"n": F.count(F.lit(1))}
+    start = edges.select(F.col("src").alias("node"), F.col("dst").alias("ancestor")).filter("node IS NOT NULL AND ancestor IS NOT NULL AND node <> ancestor")
+    pairs, seen = cut_measured(start.distinct().withColumn("depth", F.lit(1)), **figures)
+    for _ in range(max_rounds):
+        far = pairs.alias("l").join(pairs.alias("r"), F.col("l.ancestor") == F.col("r.node")).select("l.node", "r.ancestor", (F.col("l.depth") + F.col("r.depth")).alias("depth"))
+        step = pairs.unionByName(far.filter("node <> ancestor")).groupBy("node", "ancestor").agg(F.min("depth").alias("depth"))
+        before = seen["n"]
+        pairs, seen = cut_measured(step, **figures)
+        if seen["n"] == before:
+            return pairs
+    raise RuntimeError("no fixpoint within max_rounds")
 
 
 def hops(edges: DataFrame, seeds: DataFrame, depth: int) -> DataFrame:
@@ -80,17 +84,8 @@ def prune(edges: DataFrame, least: int, rounds: int = 5) -> DataFrame:
     return e
 
 
-def components(edges: DataFrame, max_rounds: int = 100) -> DataFrame:
-    """(id, component): least id of each connected component, by least labels and shortcuts."""
-    pairs = edges.select("src", "dst").filter("src <> dst")
-    both = cut(pairs.unionByName(pairs.select(F.col("dst").alias("src"), F.col("src").alias("dst"))).distinct())
-    labels = cut(both.select(F.col("src").alias("id")).distinct().withColumn("component", F.col("id")))
-    for _ in range(max_rounds):
-        near = both.join(labels, F.col("dst") == F.col("id")).groupBy(F.col("src").alias("id")).agg(F.min("component").alias("near"))
-        up = labels.select(F.col("id").alias("component"), F.col("component").alias("up"))
-        step = labels.join(near, "id").join(up, "component").select("id", F.least("component", "near", "up").alias("component"), F.col("component").alias("old"))
-        step = cut(step)
-        labels = step.select("id", "component")
-        if step.filter("component <> old").isEmpty():
-            return labels
-    raise RuntimeError("no fixpoint within max_rounds")
+def components(edges: DataFrame) -> DataFrame:
+    """(id, component): least id of each connected component. Hubs are salted and
+    labels travel as numbers (``operators/components.py``)."""
+    pairs = edges.filter("src <> dst").select(F.least("src", "dst").alias("a"), F.greatest("src", "dst").alias("b")).distinct()
+    return labelled(cut(pairs)).select(F.col("ref").alias("id"), F.col("label").alias("component"))

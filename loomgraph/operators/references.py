@@ -86,7 +86,7 @@ def direct_orphans(t: KnowledgeTables) -> DataFrame:
     return relation_side.unionByName(claim_side).filter("ref_state IS NOT NULL").distinct()
 
 
-def orphan_cascade(t: KnowledgeTables, max_rounds: int = 1000) -> DataFrame:
+def orphan_cascade(t: KnowledgeTables, max_rounds: int = 100_000) -> DataFrame:
     """REPORT and (orphan_kind, depth): ``direct`` at depth 0, ``inherited`` below.
 
     Children: claims by ``derived_from`` (itself a chain of claims) and relations
@@ -94,25 +94,28 @@ def orphan_cascade(t: KnowledgeTables, max_rounds: int = 1000) -> DataFrame:
     the last round and keeps the children not met before; it ends when a round
     finds none, so cycles end too. A record that is a direct orphan is reported
     as direct only in the field concerned and may appear as inherited in another.
+    A chain longer than ``max_rounds`` raises; nothing is left out.
     """
     direct = cut(direct_orphans(t))
     links = t.claims.filter("claim_id IS NOT NULL AND size(derived_from) > 0").select(
         F.col("claim_id").alias("child"), F.explode("derived_from").alias("parent")
     ).filter("parent IS NOT NULL AND parent <> child").distinct()
     reached = direct.filter("table_name = 'claims' AND row_key IS NOT NULL").select(F.col("row_key").alias("id"), F.lit(0).alias("depth")).distinct()
-    frontier, levels, depth = reached, [reached], 0
+    reached = cut(reached)
+    frontier, levels = reached, [reached]
     links = cut(links)
-    while depth < max_rounds:
-        depth += 1
+    for depth in range(1, max_rounds + 1):
         step = salted_join(links, frontier.select(F.col("id").alias("parent")), "parent", "left_semi")
-        found = step.select(F.col("child").alias("id")).distinct().join(_ids(levels), "id", "left_anti")
+        found = step.select(F.col("child").alias("id")).distinct().join(_union(levels).select("id"), "id", "left_anti")
         frontier = cut(found.withColumn("depth", F.lit(depth)))
         if frontier.isEmpty():
             break
         levels.append(frontier)
-    orphans = levels[0]
-    for level in levels[1:]:
-        orphans = orphans.unionByName(level)
+        if len(levels) > 16:  # long chains: one table for the levels so far keeps plans short
+            levels = [cut(_union(levels))]
+    else:
+        raise RuntimeError("no fixpoint within max_rounds")
+    orphans = _union(levels)
     by_claim = orphans.filter("depth > 0")
     claim_months = t.claims.select(F.col("claim_id").alias("id"), month_of(F.col("observed_at")).alias("ref_month"))
     inherited_claims = claim_months.join(by_claim, "id").select(
@@ -138,10 +141,10 @@ def orphan_cascade(t: KnowledgeTables, max_rounds: int = 1000) -> DataFrame:
     )
 
 
-def _ids(levels: list[DataFrame]) -> DataFrame:
-    out = levels[0].select("id")
+def _union(levels: list[DataFrame]) -> DataFrame:
+    out = levels[0]
     for level in levels[1:]:
-        out = out.unionByName(level.select("id"))
+        out = out.unionByName(level)
     return out
 
 

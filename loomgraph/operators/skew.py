@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 ROWS_LIMIT = 2_000_000
+NULL_FAN = 4096
 
 
 def hot_keys(facts: DataFrame, key: str, rows_limit: int = ROWS_LIMIT) -> DataFrame:
@@ -33,14 +34,17 @@ def salted_join(
     """``facts.join(dim, key, how)`` for how in inner, left, left_semi, left_anti.
 
     ``dim`` must hold a key at most a bounded number of times. Null keys match
-    nothing, as in SQL; their rows are spread by the hash too.
+    nothing, as in SQL; in a left or anti join their rows are kept and spread by
+    the hash and the input partition over NULL_FAN salts, which no row of ``dim`` bears.
     """
     assert how in ("inner", "left", "left_semi", "left_anti")
     hot = F.broadcast(hot_keys(facts, key, rows_limit))
-    salt = F.when(
-        F.col("_fan").isNotNull(),
-        F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in facts.columns if c != key and _hashable(facts, c)], F.lit(7)), F.col("_fan")),
-    ).otherwise(F.lit(0))
+    rest = [F.col(f"`{c}`") for c in facts.columns if c != key and _hashable(facts, c)]
+    salt = (
+        F.when(F.col("_fan").isNotNull(), F.pmod(F.xxhash64(*rest, F.lit(7)), F.col("_fan")))
+        .when(F.col(f"`{key}`").isNull(), -1 - F.pmod(F.xxhash64(*rest, F.spark_partition_id()), F.lit(NULL_FAN)))
+        .otherwise(F.lit(0))
+    )
     left = facts.join(hot, key, "left").withColumn("_salt", salt.cast("int")).drop("_fan")
     right = (
         dim.join(hot, key, "left")

@@ -126,17 +126,18 @@ def shortest_path_hops(spark, d):
 
 
 @query("""WITH RECURSIVE e AS (SELECT DISTINCT source_id AS s, target_id AS t FROM relations WHERE type = 'PART_OF' AND source_id IS NOT NULL AND target_id IS NOT NULL AND source_id <> target_id),
-  r(node, ancestor, depth) AS (SELECT s, t, 1 FROM e UNION SELECT r.node, e.t, r.depth + 1 FROM r JOIN e ON e.s = r.ancestor WHERE r.depth < 16 AND e.t <> r.node) SELECT node, ancestor, CAST(min(depth) AS INT) AS depth FROM r GROUP BY 1, 2""")
+  r(node, ancestor, depth) AS (SELECT s, t, 1 FROM e UNION SELECT r.node, e.t, r.depth + 1 FROM r JOIN e ON e.s = r.ancestor WHERE r.depth < 500 AND e.t <> r.node) SELECT node, ancestor, CAST(min(depth) AS INT) AS depth FROM r GROUP BY 1, 2""")
 def hierarchy_closure(spark, d):
     r = read_table(spark, d, "relations", "type", "source_id", "target_id").filter("type = 'PART_OF'")
     return G.closure(r.select(F.col("source_id").alias("src"), F.col("target_id").alias("dst")))
 
 
-@query("""WITH a AS (SELECT DISTINCT source_id AS person, target_id AS unit FROM relations WHERE type = 'AFFILIATED_WITH' AND source_id IS NOT NULL AND target_id IS NOT NULL),
-  p AS (SELECT DISTINCT source_id AS unit, target_id AS parent FROM relations WHERE type = 'PART_OF' AND source_id IS NOT NULL AND target_id IS NOT NULL AND source_id <> target_id)
-  SELECT top, count(DISTINCT person) AS people FROM (SELECT person, unit AS top FROM a UNION SELECT a.person, p.parent FROM a JOIN p USING (unit)) GROUP BY 1""")
+@query("""WITH RECURSIVE a AS (SELECT DISTINCT source_id AS person, target_id AS unit FROM relations WHERE type = 'AFFILIATED_WITH' AND source_id IS NOT NULL AND target_id IS NOT NULL),
+  p AS (SELECT DISTINCT source_id AS unit, target_id AS parent FROM relations WHERE type = 'PART_OF' AND source_id IS NOT NULL AND target_id IS NOT NULL AND source_id <> target_id),
+  up(unit, top) AS (SELECT unit, parent FROM p UNION SELECT up.unit, p.parent FROM up JOIN p ON p.unit = up.top)
+  SELECT top, count(DISTINCT person) AS people FROM (SELECT person, unit AS top FROM a UNION SELECT a.person, up.top FROM a JOIN up USING (unit)) GROUP BY 1""")
 def unit_tree_counts(spark, d):
-    """People of each unit and of all units below it, counted once. The SQL goes one level down only."""
+    """People of each unit and of all units below it, counted once."""
     r = read_table(spark, d, "relations", "type", "source_id", "target_id").dropna()
     a = r.filter("type = 'AFFILIATED_WITH'").select(F.col("source_id").alias("person"), F.col("target_id").alias("unit")).distinct()
     above = G.closure(r.filter("type = 'PART_OF'").select(F.col("source_id").alias("src"), F.col("target_id").alias("dst")))
@@ -144,10 +145,11 @@ def unit_tree_counts(spark, d):
     return a.select("person", F.col("unit").alias("top")).unionByName(up).groupBy("top").agg(F.countDistinct("person").alias("people"))
 
 
-@query("""WITH e AS (SELECT DISTINCT source_id AS s, target_id AS t FROM relations WHERE type = 'PART_OF' AND source_id IS NOT NULL AND target_id IS NOT NULL)
-  SELECT a.s AS unit, a.t AS other FROM e a JOIN e b ON a.s = b.t AND a.t = b.s""")
+@query("""WITH RECURSIVE e AS (SELECT DISTINCT source_id AS s, target_id AS t FROM relations WHERE type = 'PART_OF' AND source_id IS NOT NULL AND target_id IS NOT NULL),
+  up(s, t) AS (SELECT s, t FROM e UNION SELECT up.s, e.t FROM up JOIN e ON e.s = up.t)
+  SELECT e.s AS unit, e.t AS other FROM e JOIN up ON e.s = up.t AND e.t = up.s""")
 def cycle_check(spark, d):
-    """The PART_OF edges that lie on a cycle of any length, self-parts included. The SQL sees two steps only."""
+    """The PART_OF edges that lie on a cycle of any length, self-parts included."""
     e = read_table(spark, d, "relations", "type", "source_id", "target_id").filter("type = 'PART_OF'").select("source_id", "target_id").dropna().distinct()
     above = G.closure(e.select(F.col("source_id").alias("src"), F.col("target_id").alias("dst")))
     back = above.select(F.col("ancestor").alias("source_id"), F.col("node").alias("target_id"))

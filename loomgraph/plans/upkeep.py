@@ -74,7 +74,7 @@ direct AS (SELECT DISTINCT * FROM (
 _CASCADE = """,
 links AS (SELECT DISTINCT claim_id AS child, p AS parent FROM (SELECT claim_id, unnest(derived_from) AS p FROM claims) WHERE p IS NOT NULL AND p <> claim_id AND claim_id IS NOT NULL),
 reached(id, depth) AS (SELECT DISTINCT row_key, 0 FROM direct WHERE table_name = 'claims'
-   UNION SELECT l.child, r.depth + 1 FROM reached r JOIN links l ON l.parent = r.id WHERE r.depth < 40),
+   UNION SELECT l.child, r.depth + 1 FROM reached r JOIN links l ON l.parent = r.id WHERE r.depth < 3000),
 orphans AS (SELECT id, min(depth) AS depth FROM reached GROUP BY id),
 report AS (SELECT *, 0 AS depth, 'direct' AS orphan_kind FROM direct
    UNION ALL SELECT DISTINCT 'claims', 'derived_from', id, coalesce(strftime(observed_at AT TIME ZONE 'UTC', '%Y-%m'), 'unknown'), 'inherited', depth, 'inherited'
