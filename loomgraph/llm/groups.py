@@ -1,15 +1,9 @@
 """Consolidating pairwise matches into groups.
 
-Minimum labels spread across the edges and pointer jumping shortens the paths:
-each round every node takes the least label of its neighbourhood as parent,
-parents are replaced by their parents until every tree is flat, and the edges
-are rewritten to the roots, where loops and repetitions drop out. A chain of n
-records needs O(log n) rounds, a star two. The labels and edges of each round
-are checkpointed; the loop ends when no edge is left, that is no label changes.
-
+Minimum labels spread across the confirmed pairs, accelerated by pointer
+jumping, each round cut, until no label changes (``operators/components.py``).
 References are numbered in their own order first, so the least number is the
-smallest reference. No step gathers a group: labels are minima with partial
-aggregation, and rewriting edges joins on unique labels with hot nodes salted.
+smallest reference. No step gathers a group.
 """
 
 from __future__ import annotations
@@ -17,8 +11,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomgraph.operators.skew import ROWS_LIMIT, salted_join
-from loomgraph.session import cut, cut_measured
+from loomgraph.operators.components import labelled
+from loomgraph.operators.skew import ROWS_LIMIT
+from loomgraph.session import cut
 
 CONFIRMED = "confirmed_match"
 
@@ -47,61 +42,6 @@ def all_references(matches: DataFrame, left: str = "left", right: str = "right")
     )
 
 
-def _flatten(parents: DataFrame) -> DataFrame:
-    """Pointer jumping: (v, p) with p = root of v. Each checkpointed step follows
-    three more pointers, so a path of length n takes log4(n) steps."""
-    moved = True
-    while moved:
-        out = parents
-        for _ in range(3):
-            up = parents.select(F.col("v").alias("p"), F.col("p").alias("up"))
-            out = out.join(up, "p").select("v", F.col("up").alias("p"))
-        changed = out.join(parents.withColumnRenamed("p", "old"), "v").select("v", "p", "old")
-        parents, seen = cut_measured(changed, moved=F.max(F.when(F.col("p") < F.col("old"), 1).otherwise(0)))
-        parents, moved = parents.select("v", "p"), bool(seen["moved"])
-    return parents
-
-
-def _to_roots(edges: DataFrame, parents: DataFrame, end: str, hot: bool, rows_limit: int) -> DataFrame:
-    to = parents.select(F.col("v").alias(end), F.col("p").alias("_p"))
-    joined = salted_join(edges, to, end, "inner", rows_limit) if hot else edges.join(to, end)
-    return joined.drop(end).withColumnRenamed("_p", end)
-
-
-def components(edges: DataFrame, rows_limit: int = ROWS_LIMIT, max_rounds: int = 100) -> DataFrame:
-    """(v, label) for the nodes of ``edges`` (a, b: bigint): label = least node of the component.
-
-    Loops and repeated edges are harmless. An empty edge table gives no rows. A
-    round salts its joins only if some node has more than ``rows_limit`` edges.
-    """
-    count = {"n": F.count(F.lit(1))}
-    edges, seen = cut_measured(edges.filter("a <> b"), **count)
-    labels, root_labels = None, []
-    for _ in range(max_rounds):
-        if not seen["n"]:
-            break
-        both = F.explode(F.array(F.struct(F.col("a").alias("v"), F.col("b").alias("n")), F.struct(F.col("b").alias("v"), F.col("a").alias("n"))))
-        least = edges.select(both.alias("e")).groupBy(F.col("e.v").alias("v")).agg(F.min("e.n").alias("n"), F.count(F.lit(1)).alias("d"))
-        parents, degree = cut_measured(least.select("v", F.least("v", "n").alias("p"), "d"), top=F.max("d"))
-        parents = _flatten(parents.select("v", "p"))
-        hot = degree["top"] > rows_limit
-        for end in ("a", "b"):
-            edges = _to_roots(edges, parents, end, hot, rows_limit)
-        contracted = edges.filter("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        edges, seen = cut_measured(contracted, **count)
-        root_labels.append(parents)
-    else:
-        raise RuntimeError("no fixpoint within max_rounds")
-    if not root_labels:
-        return edges.select(F.col("a").alias("v"), F.col("b").alias("label"))
-    # later rounds hold roots only: compose from the last to the first, the small maps first
-    labels = root_labels[-1].withColumnRenamed("p", "label")
-    for parents in reversed(root_labels[:-1]):
-        over = labels.select(F.col("v").alias("p"), "label")
-        labels = salted_join(parents, over, "p", "left", rows_limit).select("v", F.coalesce("label", "p").alias("label"))
-    return labels
-
-
 def match_groups(matches: DataFrame, rows_limit: int = ROWS_LIMIT) -> DataFrame:
     """(record_ref, group_ref): each reference with the smallest reference of its group.
 
@@ -109,17 +49,8 @@ def match_groups(matches: DataFrame, rows_limit: int = ROWS_LIMIT) -> DataFrame:
     without confirmed links is its own group. Only the ends and the status are
     read, so other columns may hold anything. An empty table gives no rows.
     """
-    pairs = cut(confirmed_pairs(matches))
-    degrees = pairs.select(F.explode(F.array("a", "b")).alias("ref")).groupBy("ref").agg(F.count(F.lit(1)).alias("d"))
-    numbers, degree = cut_measured(degrees.orderBy("ref").select("ref", F.monotonically_increasing_id().alias("id"), "d"), top=F.max("d"))
-    hot = (degree["top"] or 0) > rows_limit
-    edges = pairs
-    for end in ("a", "b"):
-        edges = _to_roots(edges, numbers.select(F.col("ref").alias("v"), F.col("id").alias("p")), end, hot, rows_limit)
-    labels = components(edges.select("a", "b"), rows_limit)
-    names = numbers.select(F.col("id").alias("label"), F.col("ref").alias("group_ref"))
-    grouped = salted_join(labels, names, "label", "inner", rows_limit).select(F.col("v").alias("id"), "group_ref")
-    grouped = grouped.join(numbers.select("id", "ref"), "id").select("ref", "group_ref")
+    grouped = labelled(cut(confirmed_pairs(matches)), rows_limit)
+    grouped = grouped.select("ref", F.col("label").alias("group_ref"))
     return all_references(matches).join(grouped, "ref", "left").select(
         F.col("ref").alias("record_ref"), F.coalesce("group_ref", "ref").alias("group_ref")
     )

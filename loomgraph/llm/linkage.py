@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from loomgraph.llm.groups import components
+from loomgraph.operators.components import components
 from loomgraph.session import cut
 
 # Words of titles that say nothing about the project.
