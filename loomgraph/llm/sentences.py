@@ -25,14 +25,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomgraph.session import spread
+from loomgraph.operators.skew import salted_join
+from loomgraph.session import cut, spread
 
 #: Longest word that may be an abbreviation.
 LONGEST = 6
 #: A corpus abbreviation: at least so often seen, and of so many periods at most one closes a block.
 SEEN, RARE_END = 15, 200
-#: Words kept from the corpus hold at least this share of all counted periods, so there are at most 1/SHARE.
-SHARE = 1e-5
+#: Up to so many corpus abbreviations go to every task as one list (about 30 MB); more are joined to the documents that use them.
+LIST_LIMIT = 1_000_000
 
 # Abbreviations assumed where document and corpus are silent.
 SEED = set(
@@ -50,7 +51,7 @@ LETTER = r"[^\W\d_][\u0300-\u036f\u00ad\u0900-\u0903\u093a-\u094f\u200d]*"
 WORD = re.compile(rf"(?:{LETTER})+$")
 PERIOD = re.compile(r"\.(?![.…\w])(\s*)")
 MARKS = "\u00ad\u200d\u093e\u0940\u0949\u094b\u094c"
-QUOTATION = re.compile(r"[„“«\"](?:[^„“”«»\"\n]|\n(?!\s*\n)){1,400}[“”»\"]")
+QUOTATION = re.compile(r"[„“«\"][^„“”«»\"\n]*(?:\n(?!\s*\n)[^„“”«»\"\n]*)*[“”»\"]")
 NUMBER = re.compile(r"(?<![^\s(])[\d.,/–-]*\d$")
 ROMAN = re.compile(r"[IVXLC]+$")
 ORDINAL = re.compile(r"(?:^|[\s(])(?:[Ii]m|[Aa]m|[Vv]om|[Zz]um|[Zz]ur|[Bb]eim|[Ii]ns|[Dd]er|[Dd]ie|[Dd]as|[Dd]en|[Dd]em|[Dd]es|[Aa]z?)\s+\d{1,3}$")
@@ -169,10 +170,10 @@ def period_kind(text: str, m: re.Match, by_line: bool) -> str:
 
 
 class Splitter:
-    """Splits texts, given the abbreviations of the corpus and its known words."""
+    """Splits texts, given the abbreviations of the corpus and the words on which it is not silent."""
 
-    def __init__(self, abbreviations: set[str], known: set[str]):
-        self.abbreviations, self.known = abbreviations, known
+    def __init__(self, abbreviations: set[str], heard: set[str]):
+        self.abbreviations, self.heard = abbreviations, heard
 
     def split(self, text: str | None, by_line: bool) -> list[tuple[int, int]]:
         """Code-point spans of the sentence units; [] for null, empty and blank texts."""
@@ -304,7 +305,7 @@ class Splitter:
         if final and not inner:
             return False
         if not final:
-            return w in self.abbreviations or (w not in self.known and w.casefold() in SEED)
+            return w in self.abbreviations or (w not in self.heard and w.casefold() in SEED)
         follows = re.match(r"[^\W\d_]+", s[k:])  # both: a proper name behind it is no start of a sentence
         if follows and w in self.abbreviations:
             name = follows.group()
@@ -313,7 +314,7 @@ class Splitter:
 
 
 def corpus_words(texts: DataFrame, text: str = "text", path: str = "raw_path") -> DataFrame:
-    """(word, n_inner, n_final, n_all) over all texts; only words of a share of at least SHARE."""
+    """(word, n_inner, n_final, n_all) over all texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: Counter = Counter()
@@ -322,48 +323,90 @@ def corpus_words(texts: DataFrame, text: str = "text", path: str = "raw_path") -
                 t = t.as_py()
                 if t:
                     counts.update(word_counts(t, p.as_py()))
-        words = sorted({w for w, _ in counts})
-        cols = [words, [counts[w, "inner"] for w in words], [counts[w, "final"] for w in words], [counts[w, "open"] for w in words]]
-        yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.string()), *(pa.array(c, pa.int64()) for c in cols[1:])], names=["word", "i", "f", "o"])
+            if len(counts) > 200_000:  # what a task holds stays bounded
+                yield _counted(counts)
+                counts = Counter()
+        yield _counted(counts)
 
     src = texts.select(F.col(text).alias("t"), F.col(path).isNotNull().alias("p"))
     parts = spread(src, "t").mapInArrow(run, "word string, i bigint, f bigint, o bigint")
-    sums = parts.groupBy("word").agg(F.sum("i").alias("n_inner"), F.sum("f").alias("n_final"), F.sum(F.col("i") + F.col("f") + F.col("o")).alias("n_all"))
-    return sums
+    return parts.groupBy("word").agg(F.sum("i").alias("n_inner"), F.sum("f").alias("n_final"), F.sum(F.col("i") + F.col("f") + F.col("o")).alias("n_all"))
 
 
-def corpus_abbreviations(words: DataFrame) -> tuple[set[str], set[str]]:
-    """The corpus abbreviations and the words with enough evidence; both bounded by 1/SHARE.
+def _counted(counts: Counter) -> pa.RecordBatch:
+    words = sorted({w for w, _ in counts})
+    kinds = [pa.array([counts[w, k] for w in words], pa.int64()) for k in ("inner", "final", "open")]
+    return pa.RecordBatch.from_arrays([pa.array(words, pa.string()), *kinds], names=["word", "i", "f", "o"])
 
-    The corpus may be small: what it saw less than SEEN times is left to SEED.
+
+def corpus_abbreviations(words: DataFrame) -> tuple[DataFrame, set[str]]:
+    """(word) of the corpus abbreviations, cut, and the case forms of SEED on which the corpus is not silent.
+
+    The evidence is absolute: a word seen at least SEEN times counts, however
+    large the corpus. What was seen less often is left to SEED.
     """
-    total = words.agg(F.sum("n_all")).first()[0] or 0
-    often = words.filter((F.col("n_all") >= SEEN) & (F.col("n_all") >= SHARE * total)).collect()  # at most 1/SHARE rows
-    known = {r["word"] for r in often}
-    return {r["word"] for r in often if r["n_final"] * RARE_END < r["n_all"]}, known
+    judged = cut(words.filter(F.col("n_all") >= SEEN).select("word", (F.col("n_final") * RARE_END < F.col("n_all")).alias("abbreviation")))
+    heard = {r["word"] for r in judged.filter(F.lower("word").isin(*sorted(SEED))).collect()}  # case forms of SEED only
+    return judged.filter("abbreviation").select("word"), heard
+
+
+def dotted_words(text: str) -> set[str]:
+    """The short words of a text that stand before a period."""
+    out = set()
+    for m in PERIOD.finditer(text):
+        word = WORD.search(text[max(0, m.start() - 24) : m.start()])
+        if word and len(w := plain(word.group())) <= LONGEST:
+            out.add(w)
+    return out
+
 
+def own_abbreviations(texts: DataFrame, abbreviations: DataFrame, key: str, text: str) -> DataFrame:
+    """(key, _own): the corpus abbreviations that each text uses, by a join on the word."""
 
-def sentence_units(texts: DataFrame, key: str = "doc_id", text: str = "text", path: str = "raw_path") -> DataFrame:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows, words = [], []
+            for i, t in enumerate(batch.column(1)):
+                found = sorted(dotted_words(t.as_py() or ""))
+                rows += [i] * len(found)
+                words += found
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(rows, pa.int64())), pa.array(words, pa.string())], names=[key, "word"])
+
+    src = texts.select(f"`{key}`", f"`{text}`")
+    used = spread(src, key).mapInArrow(run, f"`{key}` {src.schema[0].dataType.simpleString()}, word string")
+    return salted_join(used, abbreviations, "word", "left_semi").groupBy(key).agg(F.collect_set("word").alias("_own"))
+
+
+def sentence_units(texts: DataFrame, key: str = "doc_id", text: str = "text", path: str = "raw_path", list_limit: int = LIST_LIMIT) -> DataFrame:
     """(key, sent_start int, sent_end int): the sentence units of every whole text.
 
     Where ``path`` is not null each line break ends a unit, elsewhere a blank
     line does. Offsets count code points from 0, end exclusive. Null, empty and
-    blank texts have none; repeated rows repeat theirs. Only three columns are read.
+    blank texts have none; repeated rows repeat theirs. Only three columns are
+    read. More than ``list_limit`` corpus abbreviations are joined by ``key``,
+    which must be unique then; the result is the same.
     """
-    abbreviations, known = corpus_abbreviations(corpus_words(texts, text, path))
+    abbreviations, heard = corpus_abbreviations(corpus_words(texts, text, path))
+    src = texts.select(f"`{key}`", f"`{text}`", F.col(path).isNotNull().alias("_web"))
+    common: set[str] | None = None
+    if abbreviations.count() <= list_limit:
+        common = {r["word"] for r in abbreviations.collect()}
+    else:
+        src = src.join(own_abbreviations(texts, abbreviations, key, text), key, "left")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        splitter = Splitter(abbreviations, known)
+        splitter = Splitter(common or set(), heard)
         for batch in batches:
             ids = batch.column(0)
             for at in range(0, batch.num_rows, 1024):
                 rows, starts, ends = [], [], []
                 for i in range(at, min(at + 1024, batch.num_rows)):
+                    if common is None:
+                        splitter.abbreviations = set(batch.column(3)[i].as_py() or ())
                     found = splitter.split(batch.column(1)[i].as_py(), batch.column(2)[i].as_py())
                     rows += [i] * len(found)
                     starts += [x for x, _ in found]
                     ends += [x for _, x in found]
                 yield pa.RecordBatch.from_arrays([ids.take(pa.array(rows, pa.int64())), pa.array(starts, pa.int32()), pa.array(ends, pa.int32())], names=[key, "sent_start", "sent_end"])
 
-    src = texts.select(f"`{key}`", f"`{text}`", F.col(path).isNotNull().alias("_web"))
     return spread(src, key).mapInArrow(run, f"`{key}` {src.schema[0].dataType.simpleString()}, sent_start int, sent_end int")
