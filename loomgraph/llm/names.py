@@ -24,7 +24,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loomgraph.session import cut
+from loomgraph.operators.skew import salted_join
+from loomgraph.session import cut, cut_measured, spread
 
 Q, ROWS = 2, 4
 #: Wished recall of the candidate search at this Jaccard similarity of q-grams.
@@ -33,6 +34,8 @@ SIMILARITY, RECALL = 0.5, 0.99
 PARTNERS = 3
 #: and beside at least this share of the other word's partners.
 RELATIVE = 0.08
+#: A bucket with more rows is split.
+BUCKET_ROWS = 20_000
 #: Least Monge-Elkan similarity of two spellings of one name.
 ACCEPT = 0.85
 
@@ -105,7 +108,7 @@ def qgrams(key: str) -> set[str]:
 
 
 def band_rows(keys: DataFrame, bands: int) -> DataFrame:
-    """(band, h, key): a row for each band of a key's MinHash signature."""
+    """(h, k): a row for each band of a key's MinHash signature; h = hash of band and signature."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
@@ -115,21 +118,19 @@ def band_rows(keys: DataFrame, bands: int) -> DataFrame:
         c = rng.integers(0, 2**63, bands * ROWS, dtype=np.uint64)
         hashed = lru_cache(100_000)(lambda g: xxhash.xxh64_intdigest(g))
         mix = rng.integers(1, 2**61, ROWS, dtype=np.uint64) | np.uint64(1)
+        turn = rng.integers(0, 2**63, bands, dtype=np.uint64)
         for b in batches:
-            keys, hs = b.column(0).to_pylist(), []
-            for k in keys:
+            ids, hs = b.column(0).to_numpy(), []
+            for k in b.column(1).to_pylist():
                 grams = np.array([hashed(g) for g in qgrams(k)], dtype=np.uint64)
                 x = grams[:, None] * a[None, :] + c[None, :]
                 x ^= x >> np.uint64(31)
                 least = x.min(axis=0).reshape(bands, ROWS)
-                hs.append((least * mix).sum(axis=1).view(np.int64))
-            if keys:
-                flat = np.concatenate(hs)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.tile(np.arange(bands, dtype=np.int32), len(keys))), pa.array(flat), pa.array(np.repeat(np.array(keys, dtype=object), bands), pa.string())], names=["band", "h", "key"]
-                )
+                hs.append((((least * mix).sum(axis=1) ^ turn) * np.uint64(0x9E3779B97F4A7C15)).view(np.int64))
+            if hs:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(hs)), pa.array(np.repeat(ids, bands))], names=["h", "k"])
 
-    return keys.select("key").mapInArrow(run, "band int, h bigint, key string")
+    return spread(keys.select("k", "key"), "k").mapInArrow(run, "h bigint, k bigint")
 
 
 def attested(keys: DataFrame) -> DataFrame:
@@ -138,7 +139,7 @@ def attested(keys: DataFrame) -> DataFrame:
     words = F.filter(F.split("key", " "), lambda w: F.length(w) > 1)
     pairs = keys.select(F.explode(words).alias("w"), words.alias("all")).select("w", F.explode("all").alias("o")).filter("w <> o").distinct()
     many = pairs.groupBy("w").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= PARTNERS)
-    each = keys.select("key", F.explode(F.split("key", " ")).alias("w")).distinct().join(many, "w", "left")
+    each = salted_join(keys.select("key", F.explode(F.split("key", " ")).alias("w")).distinct(), many, "w", "left")
     met = F.collect_list(F.when(F.col("n").isNotNull(), F.struct("w", "n")))
     return each.groupBy("key").agg(met.alias("m")).select("key", F.col("m.w").alias("known"), F.col("m.n").alias("counts"))
 
@@ -212,7 +213,7 @@ def monge_elkan(a: str, b: str, known_a: dict[str, int], known_b: dict[str, int]
     its own and the longest words are among them. At most one word may stay alone, and an
     initial needs the other words to be spelled alike but for one edit of a long word."""
     x, y = a.split(" "), b.split(" ")
-    if len(x) > len(y):
+    if (len(x), x) > (len(y), y):  # the result does not depend on the order of the two
         x, y, known_a, known_b = y, x, known_b, known_a
     if len(y) - len(x) > 1 or len(x) < 2:
         return 0.0
@@ -237,32 +238,53 @@ def monge_elkan(a: str, b: str, known_a: dict[str, int], known_b: dict[str, int]
     return total / len(x) - 0.02 * (len(y) - len(x))
 
 
-def possible(a: str, b: str) -> Column:
-    """A bound that every verified pair meets, cheap enough for each collision: each word of
-    the shorter name has one in the longer that ``likeness`` may accept, that is one that begins
-    alike, lies within two edits (a neighbour swap is one, but two here), is its everyday form
-    or differs by rn for m. Points of words cut short do not count."""
+def possible(a: Column, b: Column) -> Column:
+    """A bound that every verified pair meets, cheap enough for each candidate.
+
+    Each word of the shorter name has one in the longer that ``likeness`` may accept: one
+    that begins it or that it begins, one with the same first letter where either is short
+    (initials, words cut short), one within two edits (a neighbour swap is one, but two
+    here), its everyday form, or one that differs by rn for m. With as many words in both,
+    the same holds the other way round, else for the longest word of the longer name.
+    Points of words cut short do not count.
+    """
     either = [f"{v} {w}" for pair in sorted(SHORT) for v, w in (pair, pair[::-1])]
 
     def near(x: Column, y: Column) -> Column:
         s, t = F.rtrim(x, F.lit(".")), F.rtrim(y, F.lit("."))
-        swaps = (F.least(F.length(s), F.length(t)) >= 6) & (F.levenshtein(s, t, 4) >= 0)
-        return (F.substring(x, 1, 1) == F.substring(y, 1, 1)) | (F.levenshtein(s, t, 2) >= 0) | F.concat_ws(" ", s, t).isin(either) | (F.replace(s, F.lit("rn"), F.lit("m")) == F.replace(t, F.lit("rn"), F.lit("m"))) | swaps
+        short = F.least(F.length(s), F.length(t))
+        begins = F.startswith(s, t) | F.startswith(t, s) | ((F.substring(s, 1, 1) == F.substring(t, 1, 1)) & (short <= 4))
+        swaps = (short >= 6) & (F.levenshtein(s, t, 4) >= 0)
+        return begins | (F.levenshtein(s, t, 2) >= 0) | F.concat_ws(" ", s, t).isin(either) | (F.replace(s, F.lit("rn"), F.lit("m")) == F.replace(t, F.lit("rn"), F.lit("m"))) | swaps
 
     x, y = F.split(a, " "), F.split(b, " ")
     met = lambda p, q: F.forall(p, lambda v: F.exists(q, lambda w: near(v, w)))
-    sizes = F.abs(F.size(x) - F.size(y)) <= 1
-    return sizes & F.when(F.size(x) <= F.size(y), met(x, y)).otherwise(met(y, x))
+    longest = lambda p: F.filter(p, lambda v: F.length(v) == F.array_max(F.transform(p, F.length)))
+    headed = lambda p, q: F.exists(longest(p), lambda v: F.exists(q, lambda w: near(v, w)))
+    few = (F.abs(F.size(x) - F.size(y)) <= 1) & (F.least(F.size(x), F.size(y)) >= 2)
+    return few & F.when(F.size(x) == F.size(y), met(x, y) & met(y, x)).when(F.size(x) < F.size(y), met(x, y) & headed(y, x)).otherwise(met(y, x) & headed(x, y))
+
+
+def collisions(rows: DataFrame, rows_limit: int = BUCKET_ROWS) -> DataFrame:
+    """(l, r), l smaller, distinct: ids that share a bucket. Buckets of one row go first; a bucket
+    of more than ``rows_limit`` rows is split, and each part meets the whole bucket in a task of its own."""
+    shared, seen = cut_measured(rows.groupBy("h").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), top=F.max("n"))
+    live = rows.join(shared.select("h"), "h")
+    left, right = live.select("h", F.col("k").alias("l")), live.select("h", F.col("k").alias("r"))
+    met = salted_join(left, right, "h", "inner", rows_limit) if (seen["top"] or 0) > rows_limit else left.join(right, "h")
+    return met.filter("l < r").select("l", "r").distinct()
 
 
 def verified(keys: DataFrame, bands: int) -> DataFrame:
-    """(a, b, sim): candidate classes whose Monge-Elkan similarity is at least ACCEPT."""
-    rows = cut(band_rows(keys, bands))
-    pairs = rows.alias("l").join(rows.alias("r"), (F.col("l.band") == F.col("r.band")) & (F.col("l.h") == F.col("r.h")) & (F.col("l.key") < F.col("r.key")))
-    pairs = pairs.select(F.col("l.key").alias("a"), F.col("r.key").alias("b")).filter(possible("a", "b")).distinct()
+    """(a, b, sim): candidate classes whose Monge-Elkan similarity is at least ACCEPT.
+
+    keys (k, key, weight), k unique."""
+    pairs = collisions(cut(band_rows(keys, bands)))
+    text = lambda side, c: keys.select(F.col("k").alias(side), F.col("key").alias(c))
+    likely = pairs.join(text("l", "a"), "l").join(text("r", "b"), "r").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).filter(possible("a", "b"))
     known = cut(attested(keys))
     of = lambda c: known.select(F.col("key").alias(c), F.col("known").alias(f"{c}_w"), F.col("counts").alias(f"{c}_n"))
-    full = pairs.join(of("a"), "a").join(of("b"), "b").select("a", "b", "a_w", "a_n", "b_w", "b_n")
+    full = likely.join(of("a"), "a").join(of("b"), "b").select("a", "b", "a_w", "a_n", "b_w", "b_n")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -307,7 +329,7 @@ def star_clusters(keys: DataFrame, links: DataFrame, max_rounds: int = 60) -> Da
 def variant_clusters(person: DataFrame, matches: DataFrame, similarity: float = SIMILARITY, recall: float = RECALL) -> DataFrame:
     """(name, weight, centre): every spelling with the centre of its cluster."""
     named = cut(classes(spellings(person, matches)))
-    keys = cut(named.groupBy("key").agg(F.sum("weight").alias("weight")))
+    keys = cut(named.groupBy("key").agg(F.sum("weight").alias("weight")).withColumn("k", F.monotonically_increasing_id()))
     links = cut(verified(keys, bands_for(similarity, recall)))
     return named.join(star_clusters(keys, links), "key").select("name", "weight", "centre")
 
