@@ -238,29 +238,32 @@ def monge_elkan(a: str, b: str, known_a: dict[str, int], known_b: dict[str, int]
     return total / len(x) - 0.02 * (len(y) - len(x))
 
 
-def possible(a: Column, b: Column) -> Column:
-    """A bound that every verified pair meets, cheap enough for each candidate.
+def bare_words(key: Column) -> Column:
+    """The words of a key without the points of words cut short."""
+    return F.transform(F.split(key, " "), lambda w: F.rtrim(w, F.lit(".")))
+
+
+def possible(x: Column, y: Column) -> Column:
+    """A bound that every verified pair meets, cheap enough for each candidate. x, y: bare_words of the two keys.
 
     Each word of the shorter name has one in the longer that ``likeness`` may accept: one
     that begins it or that it begins, one with the same first letter where either is short
     (initials, words cut short), one within two edits (a neighbour swap is one, but two
     here), its everyday form, or one that differs by rn for m. With as many words in both,
     the same holds the other way round, else for the longest word of the longer name.
-    Points of words cut short do not count.
     """
     either = [f"{v} {w}" for pair in sorted(SHORT) for v, w in (pair, pair[::-1])]
 
-    def near(x: Column, y: Column) -> Column:
-        s, t = F.rtrim(x, F.lit(".")), F.rtrim(y, F.lit("."))
+    def near(s: Column, t: Column) -> Column:
         short = F.least(F.length(s), F.length(t))
-        begins = F.startswith(s, t) | F.startswith(t, s) | ((F.substring(s, 1, 1) == F.substring(t, 1, 1)) & (short <= 4))
-        swaps = (short >= 6) & (F.levenshtein(s, t, 4) >= 0)
-        return begins | (F.levenshtein(s, t, 2) >= 0) | F.concat_ws(" ", s, t).isin(either) | (F.replace(s, F.lit("rn"), F.lit("m")) == F.replace(t, F.lit("rn"), F.lit("m"))) | swaps
+        apart = F.abs(F.length(s) - F.length(t))
+        begins = (s == t) | F.startswith(s, t) | F.startswith(t, s) | ((short <= 4) & (F.substring(s, 1, 1) == F.substring(t, 1, 1)))
+        edits = (apart <= 4) & (F.levenshtein(s, t, 4) >= 0) & ((short >= 6) | (F.levenshtein(s, t, 2) >= 0))
+        rnm = (F.instr(s, "rn") > 0) | (F.instr(t, "rn") > 0)
+        return begins | edits | (rnm & (F.replace(s, F.lit("rn"), F.lit("m")) == F.replace(t, F.lit("rn"), F.lit("m")))) | F.concat_ws(" ", s, t).isin(either)
 
-    x, y = F.split(a, " "), F.split(b, " ")
     met = lambda p, q: F.forall(p, lambda v: F.exists(q, lambda w: near(v, w)))
-    longest = lambda p: F.filter(p, lambda v: F.length(v) == F.array_max(F.transform(p, F.length)))
-    headed = lambda p, q: F.exists(longest(p), lambda v: F.exists(q, lambda w: near(v, w)))
+    headed = lambda p, q: F.exists(F.filter(p, lambda v: F.length(v) == F.array_max(F.transform(p, F.length))), lambda v: F.exists(q, lambda w: near(v, w)))
     few = (F.abs(F.size(x) - F.size(y)) <= 1) & (F.least(F.size(x), F.size(y)) >= 2)
     return few & F.when(F.size(x) == F.size(y), met(x, y) & met(y, x)).when(F.size(x) < F.size(y), met(x, y) & headed(y, x)).otherwise(met(y, x) & headed(x, y))
 
@@ -280,8 +283,8 @@ def verified(keys: DataFrame, bands: int) -> DataFrame:
 
     keys (k, key, weight), k unique."""
     pairs = collisions(cut(band_rows(keys, bands)))
-    text = lambda side, c: keys.select(F.col("k").alias(side), F.col("key").alias(c))
-    likely = pairs.join(text("l", "a"), "l").join(text("r", "b"), "r").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).filter(possible("a", "b"))
+    text = lambda side, c: keys.select(F.col("k").alias(side), F.col("key").alias(c), bare_words(F.col("key")).alias(f"{c}_words"))
+    likely = pairs.join(text("l", "a"), "l").join(text("r", "b"), "r").filter(possible(F.col("a_words"), F.col("b_words"))).select("a", "b")
     known = cut(attested(keys))
     of = lambda c: known.select(F.col("key").alias(c), F.col("known").alias(f"{c}_w"), F.col("counts").alias(f"{c}_n"))
     full = likely.join(of("a"), "a").join(of("b"), "b").select("a", "b", "a_w", "a_n", "b_w", "b_n")
