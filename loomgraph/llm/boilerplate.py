@@ -1,31 +1,33 @@
 """Main body of web pages.
 
-A page streams once through the standard library's HTML parser, whose events
-give each line its text and its tags. Text of a page that was flattened before
-has no tags left; there the traces of links count in their place: separators
-of menus and paths, and lines of furniture vocabulary. The text-to-tag ratio
-per line is smoothed by a Gaussian, and a two-means threshold over the page's
-own ratios splits lines into dense content and the rest.
+A page streams through the standard library's HTML parser, whose events give
+each line its text and its tags. Text of a page that was flattened before has no
+tags left; there the traces of links count in their place: separators of menus
+and paths. The text-to-tag ratio per line is smoothed by a Gaussian, and a
+two-means threshold over the page's own ratios splits lines into dense content
+and the rest.
 
 The ratio alone cannot keep a heading, a list or the entries of a listing, nor
-drop a teaser that is a full sentence. So the page's own title anchors the
-body's start, furniture vocabulary ends blocks, and the ratio decides what the
-vocabulary leaves open: how far a block of teasers reaches into the body and,
-on pages without title or path, where the body begins.
+drop a teaser that is a full sentence. So the dense regions of all pages teach
+which lines belong to the site's template (``templates``): those that recur
+outside of them. A page's own title anchors the body's start, template lines end
+blocks, and the ratio decides how far a block of teasers reaches into the body
+and, on pages without title or path, where the body begins. A fixed vocabulary
+of common furniture stands in where the corpus has seen a line too seldom.
 """
 
 from __future__ import annotations
 
 import math
 import re
-from collections.abc import Iterator
+from collections.abc import Iterator, Mapping
 from html.parser import HTMLParser
 from unicodedata import normalize
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from loomgraph.session import spread
+from loomgraph.llm.templates import HEADER_FLAG, with_flags
 
 # Furniture vocabulary of research sites in Hungarian, English and German.
 MENU = {
@@ -75,6 +77,7 @@ SUBHEAD = re.compile(
 ITEM = re.compile(r"(?:[-–—•*·▪]|\d{1,3}[.)]|[a-z]\))\s")
 SENTENCE_END = re.compile(r"[.!?…。！？।؟][\"'”’»)\]）」』]*$")
 INNER_END = re.compile(r"[.!?…][\"'”’»)\]]*\s+[^\sa-záéíóöőúüű\d]|[。！？।؟]")
+ARROW = re.compile(r"[»›→]$")
 SEPARATORS = re.compile(r" [|·›»/] |\s{2,}")
 
 #: Gaussian smoothing of the ratios: standard deviation in lines and its reach.
@@ -131,9 +134,10 @@ def page_lines(text: str) -> tuple[list[str], list[int]]:
     return lines, parser.tags
 
 
-def density(lines: list[str], tags: list[int]) -> tuple[list[float], float]:
-    """Smoothed text-to-tag ratio of each line and the page's threshold."""
-    ratio = [len(x) / max(1, t + len(SEPARATORS.findall(x))) if not is_furniture(x) else 0.0 for x, t in zip(lines, tags)]
+def density(lines: list[str], tags: list[int], template: Mapping[int, int] | None = None) -> tuple[list[float], float]:
+    """Smoothed text-to-tag ratio of each line and the page's threshold; lines of the template are links."""
+    known = template or {}
+    ratio = [0.0 if i in known or is_furniture(x) else len(x) / max(1, t + len(SEPARATORS.findall(x))) for i, (x, t) in enumerate(zip(lines, tags))]
     n = len(ratio)
     smooth = []
     for i in range(n):
@@ -184,95 +188,141 @@ def title_forms(page_title: str | None) -> set[str]:
     return {f.casefold() for f in forms if f and not SITE.match(f)}
 
 
-def _path_tail(line: str) -> str | None:
-    """Last part of a path line, as far as it is shown."""
-    if FURNITURE.match(line) and "›" in line:
-        return line.rsplit("›", 1)[1].strip()
-    parts = line.split(" / ")
-    if len(parts) > 1 and parts[0] in MENU:
-        return parts[-1].strip()
-    return None
+def path_lines(lines: list[str]) -> dict[int, str]:
+    """index -> tail of the lines that show the way to the page: parts parted by › or /,
+    the last of which begins one of the next lines, or the first of which is a menu's."""
+    out: dict[int, str] = {}
+    for i, x in enumerate(lines):
+        if "›" in x or " / " in x:
+            tail = re.split(r"›| / ", x)[-1].strip().rstrip("….").casefold()
+            near = [y for y in lines[i + 1 : i + 8] if y]
+            if len(tail) > 2 and (any(_squeeze(y).casefold().startswith(tail) for y in near[:5]) or x.split(" / ")[0] in MENU):
+                out[i] = tail
+    return out
 
 
-def find_heading(lines: list[str], title: set[str], smooth: list[float], threshold: float) -> int | None:
-    """Index of the page's own heading, or of the first body line; None if there is no body."""
-    folded = [_squeeze(x).casefold() for x in lines]
-    if title:
-        for i, x in enumerate(folded):
-            if x and x in title:
-                return i
-    tails = [t for t in (_path_tail(x) for x in lines) if t]
-    for tail in tails:
-        stem = tail.rstrip("….").casefold()
-        for i, x in enumerate(folded):
-            if stem and x.startswith(stem) and not is_furniture(lines[i]) and _path_tail(lines[i]) is None:
+class Page:
+    """One page with what is known of its lines: ``template`` has the learned flag of a line index."""
+
+    def __init__(self, text: str, page_title: str | None, template: Mapping[int, int] | None = None):
+        raw, tags = page_lines(text)
+        self.lines = [_squeeze(x) if SEPARATORS.search(x) is None else compose(x).strip() for x in raw]
+        self.folded = [_squeeze(x).casefold() for x in self.lines]
+        self.template = template or {}
+        self.title = title_forms(page_title)
+        self.paths = path_lines(self.lines)
+        self.smooth, self.threshold = density(self.lines, tags, self.template)
+        self.links = [t + len(SEPARATORS.findall(x)) for x, t in zip(self.lines, tags)]
+
+    def furniture(self, i: int) -> bool:
+        return i in self.template or i in self.paths or is_furniture(self.lines[i])
+
+    def header(self, i: int) -> bool:
+        """Does the line head a block of teasers?"""
+        return bool(self.template.get(i, 0) & HEADER_FLAG) or self.lines[i] in RELATED or self.lines[i] in LATEST
+
+    def more(self, i: int) -> bool:
+        """A link to the rest of a teaser."""
+        return self.lines[i] in MORE or (i in self.template and bool(ARROW.search(self.lines[i])))
+
+    def titled(self) -> int | None:
+        """Index of the line that repeats the page's title. Where several parts of the title
+        are met, the lowest: the page's own part stands below the site's."""
+        first: dict[str, int] = {}
+        if self.title:
+            for i, x in enumerate(self.folded):
+                if x in self.title:
+                    first.setdefault(x, i)
+        return max((i for i in first.values() if i not in self.template), default=None)
+
+    def heading(self) -> int | None:
+        """Index of the page's own heading, or of the first body line; None if there is no body."""
+        at = self.titled()
+        if at is not None:
+            return at
+        for tail in self.paths.values():
+            for i, x in enumerate(self.folded):
+                if x.startswith(tail) and not self.furniture(i):
+                    return i
+        if any(x in NOTICES for x in self.lines):
+            return None
+        block = False
+        for i, x in enumerate(self.lines):
+            if not x:
+                block = False
+            elif self.header(i):
+                block = True
+            elif not self.furniture(i) and (not block or (self.smooth[i] > self.threshold and SENTENCE_END.search(x))):
                 return i
-    if any(x in NOTICES for x in lines):
         return None
-    block = False
-    for i, x in enumerate(lines):
-        if not x:
-            block = False
-        elif x in RELATED or x in LATEST:
-            block = True
-        elif not (is_furniture(x) or _path_tail(x) is not None):
-            if not block or (smooth[i] > threshold and SENTENCE_END.search(x)):
-                return i
-    return None
-
 
-def _teaser_end(lines: list[str], i: int, kind: str, smooth: list[float], threshold: float) -> int:
-    """First line behind a block of teasers whose header is line i."""
-    n, j = len(lines), i + 1
-    if kind == "related":
-        while j < n and lines[j] and not is_furniture(lines[j]) and not SUBHEAD.match(lines[j]) and not ITEM.match(lines[j]):
-            if SENTENCE_END.search(lines[j]) or (smooth[j] > threshold and len(lines[j]) > 150):
+    def latest(self, i: int) -> bool:
+        """Are the teasers below header i dated or linked news, not bare titles?"""
+        if self.lines[i] in LATEST:
+            return True
+        if self.lines[i] in RELATED:
+            return False
+        below = range(i + 1, min(i + 4, len(self.lines)))
+        return any(DAY.match(self.lines[j]) or self.more(j) for j in below)
+
+    def teaser_end(self, i: int) -> int:
+        """First line behind the block of teasers whose header is line i."""
+        lines, n, j = self.lines, len(self.lines), i + 1
+        ends = lambda k: self.furniture(k) or SUBHEAD.match(lines[k]) or ITEM.match(lines[k])
+        if not self.latest(i):
+            while j < n and lines[j] and not ends(j):
+                if SENTENCE_END.search(lines[j]) or (self.smooth[j] > self.threshold and len(lines[j]) > 150):
+                    break
+                j += 1
+            return j
+        while j < n and lines[j]:
+            if self.more(j) or DAY.match(lines[j]):
+                j += 1
+            elif ends(j):
                 break
-            j += 1
+            elif (j + 1 < n and self.more(j + 1)) or DAY.match(lines[j - 1]) or j == i + 1 or (lines[j].endswith("…") and len(lines[j]) <= 60):
+                j += 1
+            else:  # neither date nor link: a teaser if nothing of the body follows before the block's end
+                k = j
+                while k < n and lines[k] and (self.more(k) or not self.furniture(k)):
+                    if SUBHEAD.match(lines[k]) or ITEM.match(lines[k]) or (INNER_END.search(lines[k]) and not lines[k].endswith("…")):
+                        return j
+                    k += 1
+                j += 1
         return j
-    while j < n and lines[j]:
-        x = lines[j]
-        if x in MORE or DAY.match(x):
-            j += 1
-        elif is_furniture(x) or SUBHEAD.match(x) or ITEM.match(x):
-            break
-        elif j + 1 < n and lines[j + 1] in MORE or DAY.match(lines[j - 1]) or j == i + 1 or (x.endswith("…") and len(x) <= 60):
-            j += 1
-        else:  # neither date nor link: a teaser if nothing of the body follows before the block's end
-            k = j
-            while k < n and lines[k] and (lines[k] in MORE or not is_furniture(lines[k])):
-                if SUBHEAD.match(lines[k]) or ITEM.match(lines[k]) or (INNER_END.search(lines[k]) and not lines[k].endswith("…")):
-                    return j
-                k += 1
-            j += 1
-    return j
-
-
-def body_lines(text: str | None, page_title: str | None) -> list[int]:
+
+    def body(self) -> list[int]:
+        """Numbers (from 1) of the main body's lines."""
+        start = self.heading()
+        if start is None:
+            return []
+        out, i = [], start
+        while i < len(self.lines):
+            if i > start and self.header(i):
+                i = self.teaser_end(i)
+                continue
+            if self.lines[i] and (i == start or not self.furniture(i)):
+                out.append(i + 1)
+            i += 1
+        return out
+
+
+def body_lines(text: str | None, page_title: str | None, template: Mapping[int, int] | None = None) -> list[int]:
     """Numbers (from 1) of the main body's lines; [] for null, empty and blank texts.
 
     Blank lines count but are never in the result. A page that holds an error
     notice in place of a body has no lines. Very long pages take time linear in
-    their length.
+    their length. ``template``: line index -> flag of lines the corpus shows to be furniture.
     """
     if not text or not text.strip():
         return []
-    raw, tags = page_lines(text)
-    lines = [_squeeze(x) if SEPARATORS.search(x) is None else compose(x).strip() for x in raw]
-    smooth, threshold = density(lines, tags)
-    start = find_heading(lines, title_forms(page_title), smooth, threshold)
-    if start is None:
-        return []
-    out, i = [], start
-    while i < len(lines):
-        x = lines[i]
-        if x in RELATED or x in LATEST:
-            i = _teaser_end(lines, i, "related" if x in RELATED else "latest", smooth, threshold)
-            continue
-        if x and (i == start or not is_furniture(x)):
-            out.append(i + 1)
-        i += 1
-    return out
+    return Page(text, page_title, template).body()
+
+
+def read_page(text: str, page_title: str | None) -> tuple:
+    """What ``templates`` asks of a page."""
+    page = Page(text, page_title)
+    return page.lines, page.smooth, page.threshold, page.titled(), page.paths, page.links
 
 
 def main_body(pages: DataFrame, key: str = "doc_id", text: str = "text", title: str = "page_title") -> DataFrame:
@@ -285,12 +335,14 @@ def main_body(pages: DataFrame, key: str = "doc_id", text: str = "text", title:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keys, numbers = [], []
-            ids, texts, titles = batch.columns
-            for k, t, p in zip(ids.to_pylist(), texts, titles):
-                found = body_lines(t.as_py(), p.as_py())
+            ids, texts, titles, flags = batch.columns
+            for k, t, p, f in zip(ids.to_pylist(), texts, titles, flags):
+                template = {x["i"]: x["flag"] for x in f.as_py() or ()}
+                found = body_lines(t.as_py(), p.as_py(), template)
                 keys += [k] * len(found)
                 numbers += found
             yield pa.RecordBatch.from_arrays([pa.array(keys, ids.type), pa.array(numbers, pa.int32())], names=[key, "line_no"])
 
     src = pages.select(f"`{key}`", f"`{text}`", f"`{title}`")
-    return spread(src, key).mapInArrow(run, f"`{key}` {src.schema[0].dataType.simpleString()}, line_no int")
+    known = with_flags(src, key, text, title, read_page)
+    return known.mapInArrow(run, f"`{key}` {src.schema[0].dataType.simpleString()}, line_no int")

@@ -75,6 +75,22 @@ def test_body_lines(spark):
     assert boilerplate.main_body(df.limit(0)).count() == 0
 
 
+def test_templates_are_learned(spark):
+    """Furniture in words that no list holds, on pages of very different bodies."""
+    rng = random.Random(3)
+    word = lambda: "".join(rng.choice("abcdefghijklmnoprstuvz") for _ in range(rng.randrange(3, 9)))
+    sentence = lambda: " ".join(word() for _ in range(14)).capitalize() + "."
+    rows, truth = [], set()
+    for i in range(120):
+        title, body = f"{word()} {word()}", [f"{sentence()} {sentence()} {sentence()}" for _ in range(rng.randrange(1, 4))]
+        lines = ["Zur Blorg", "Quux", f"Plims seit {rng.randrange(99)}", "", title, *body, "", "Nochmal Blorg", word(), word(), "", f"Grumpf {i}", "Xyzzy Plugh"]
+        rows.append((i, "\n".join(lines), f"{title} | Blorgheim"))
+        truth |= {(i, k) for k in range(5, 6 + len(body))}
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, page_title string")
+    got = {(r.doc_id, r.line_no) for r in boilerplate.main_body(df).collect()}
+    assert truth <= got and len(got) <= 1.02 * len(truth)
+
+
 # 5 names
 def clustered(spark, people, labels=()):
     person = spark.createDataFrame([(f"p{i}", n, 1) for i, n in enumerate(people)], "canonical_id string, canonical_name string, name int")
