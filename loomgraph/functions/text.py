@@ -11,7 +11,10 @@ from pyspark.sql import functions as F
 ACCENTED = "áàâäãåçéèêëíìîïñóòôöõőúùûüűýÿÁÀÂÄÃÅÇÉÈÊËÍÌÎÏÑÓÒÔÖÕŐÚÙÛÜŰÝ"
 PLAIN = "aaaaaaceeeeiiiinoooooouuuuuyyAAAAAACEEEEIIIINOOOOOOUUUUUY"
 # Degrees that are no part of a name.
-DEGREES = ["dr", "dr.", "prof", "prof.", "phd", "csc", "dsc", "habil", "habil.", "ifj.", "id.", "özv."]
+DEGREES = [
+    "dr", "dr.", "prof", "prof.", "phd", "phd.", "ph.d.", "habil", "habil.", "dsc", "dsc.", "d.sc.", "csc", "csc.", "c.sc.", "mta", "rendes",
+    "tag", "levelező", "emeritus", "emerita", "ifj.", "id.", "özv.",
+]
 # Hungarian month names and their short forms.
 MONTHS = {
     "január": 1, "február": 2, "március": 3, "április": 4, "május": 5, "június": 6, "július": 7, "augusztus": 8, "szeptember": 9,
@@ -41,8 +44,8 @@ def name_titles(c: Column) -> Column:
 
 
 def name_key(c: Column) -> Column:
-    """Comparison key: no degrees, no accents, lower case, letters, spaces and hyphens."""
-    return squeeze(F.regexp_replace(F.lower(strip_accents(F.array_join(name_words(c), " "))), r"[^a-z\s-]", " "))
+    """Comparison key: no degrees, no accents, lower case, words of letters; a hyphen parts words."""
+    return squeeze(F.regexp_replace(F.lower(strip_accents(F.array_join(name_words(c), " "))), r"[^a-z\s]", " "))
 
 
 def order_free_key(c: Column) -> Column:
@@ -53,13 +56,69 @@ def slug(c: Column) -> Column:
     return F.trim(F.regexp_replace(F.lower(strip_accents(c)), "[^a-z0-9]+", "-"), F.lit("-"))
 
 
-def title_key(c: Column) -> Column:
+def exact_form(c: Column) -> Column:
+    """A name with its accents, without degrees, lower case, a space behind each point."""
+    return F.lower(squeeze(F.replace(F.array_join(name_words(c), " "), F.lit("."), F.lit(". "))))
+
+
+def title_fold(c: Column) -> Column:
+    """Lower case, no accents, letters and digits only, single spaces."""
     return F.trim(F.regexp_replace(F.lower(strip_accents(c)), "[^a-z0-9]+", " "))
 
 
+# What a title may carry besides the title itself (period, grant, funder, role, kind, site, year, address).
+FUNDER = r"(?:NKFIH|NKFI|OTKA)"
+ROLE = (
+    r"(?:vezető kutató|kutatásvezető|projektvezető|témavezető|szakmai vezető|résztvevő(?: kutató)?|kutató|részvétel|participating researcher"
+    r"|researcher|principal investigator|koordinátor)"
+)
+AFFIXES = [
+    r"^\s*\d{4}\s*[-–]\s*(?:\d{4}|jelenleg|folyamatban)?\s*[-–—:.]?\s+",
+    rf"^\s*(?:[A-Z]{{1,4}}\s+)?(?:{FUNDER}\s*)?[A-Z]{{0,4}}[\s_-]*\d{{5,6}}\s*[-–—:.,]\s+",
+    r"(?iu)\s*\([^()]*(?:\d|NKFI|OTKA|PI:|ERC|H2020|Horizon|kutató|vezető|résztvevő|program)[^()]*\)\s*\.?$",
+    rf"\s*[,;]\s*(?:{FUNDER}\b|(?:PD|FK|KKP|K)[\s_-]*\d{{5,6}}).*$",
+    rf"(?iu)\s*[-–—,]\s*{ROLE}\.?\s*$",
+    r"(?iu)\s+című\s+(?:kutatás|projekt|program)\.?\s*$",
+    r"\s*\|.*$",
+    r"\s+(?:19|20)\d{2}\.?$",
+    r"(?iu)\s*(?:https?://|www\.)\S+\s*$",
+]
+# Forms of grant numbers.
+GRANT = rf"(?:\b{FUNDER}\b[\s.:_-]*(?:[A-Z]{{1,4}}[\s_:-]*)?|\b(?:PD|FK|KKP|KH|NN|SNN|ANN|K)[\s_:-]*)(\d{{5,6}})\b"
+GRANT_BEHIND = r"\b(\d{5,6})\s+jelű"
+# Words that suggest what kind of activity a title names.
+CUES = {
+    "journal": r"(?iu)\bJournal\b|folyóirat", "network": r"\bNetwork\b|kutatóhálózat", "programme": r"\bProgram(?:me)?\b|Kiválósági Program|Nemzeti Laboratórium",
+    "infrastructure": r"(?iu)infrastruktúr|infrastructure", "consortium": r"(?iu)konzorci|consorti", "newsletter": r"(?iu)hírlevél|newsletter",
+    "research_group": r"(?iu)kutatócsoport|research group|Lendület", "database": r"(?iu)adatbázis|database|adatrepozitórium",
+}
+QUOTES = "„”\"'"
+
+
+def strip_affixes(c: Column, passes: int = 4) -> Column:
+    """The title itself: affixes are taken off in at most ``passes`` passes; what would be empty stays as it was."""
+    bare = lambda x: F.trim(F.btrim(F.trim(x), F.lit(QUOTES)))
+    t = bare(c)
+    for _ in range(passes):
+        for rule in AFFIXES:
+            t = bare(F.regexp_replace(t, rule, ""))
+    return F.when(t == "", c).otherwise(t)
+
+
+def title_key(c: Column) -> Column:
+    """Comparison key of a title without its affixes."""
+    return title_fold(strip_affixes(c))
+
+
 def grant_keys(c: Column) -> Column:
-    """Ordered distinct grant numbers as ``grant:<digits>``."""
-    return F.array_distinct(F.transform(F.regexp_extract_all(c, F.lit(r"(\d{5,6})"), F.lit(1)), lambda x: F.concat(F.lit("grant:"), x)))
+    """Distinct grant numbers in their context as ``grant:<digits>``: behind a funder or programme, or before "jelű"."""
+    both = F.concat(F.regexp_extract_all(c, F.lit(GRANT), F.lit(1)), F.regexp_extract_all(c, F.lit(GRANT_BEHIND), F.lit(1)))
+    return F.array_distinct(F.transform(both, lambda x: F.concat(F.lit("grant:"), x)))
+
+
+def activity_cues(c: Column) -> Column:
+    """Sorted kinds of activity whose words the text holds."""
+    return F.array_sort(F.array_compact(F.array(*[F.when(c.rlike(rule), k) for k, rule in CUES.items()])))
 
 
 def snippet(c: Column, limit: int = 600) -> Column:
@@ -68,10 +127,17 @@ def snippet(c: Column, limit: int = 600) -> Column:
     return F.when(F.length(s) > limit, F.concat(F.substring(s, 1, limit - 1), F.lit("…"))).otherwise(s)
 
 
+# E-mail addresses, phone numbers with a prefix, behind a label, and with an area code.
+EMAIL = r"[A-Za-z0-9._%+-]+@([A-Za-z0-9.-]+\.[A-Za-z]{2,})"
+PHONE = r"(?:\(?\+\s?36\)?|\b0036|\b06)[0-9 ()/-]{6,}[0-9]"
+LABELLED = r"(?iu)(\b(?:telefonszám|telefon|tel|mobil|fax)\b\.?\s*:?\s*)[+(]?[0-9][0-9 ()/.–-]{3,}[0-9]"
+AREA = r"\([0-9]{1,2}\)\s?[0-9]{3}\s[0-9]{4}\b|\b[0-9]{1,2}/[0-9]{3}[\s-][0-9]{3,4}\b"
+
+
 def scrub(c: Column) -> Column:
-    """Masks e-mail addresses and phone numbers."""
-    s = F.regexp_replace(c, r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+", "[email]")
-    return F.regexp_replace(s, r"\+[0-9]{2}[0-9 ]{6,}[0-9]", "[phone]")
+    """Masks the name of e-mail addresses and phone numbers in their four forms."""
+    s = F.regexp_replace(F.regexp_replace(c, EMAIL, "xxx@$1"), PHONE, "XXX")
+    return F.regexp_replace(F.regexp_replace(s, LABELLED, "$1XXX"), AREA, "XXX")
 
 
 def trigrams(c: Column) -> Column:
@@ -87,7 +153,7 @@ def jaccard(a: Column, b: Column) -> Column:
 def search_score(query: str, name: Column) -> Column:
     """0 to 1: every word of the query must be met by an equal word (1), a word it
     begins (.85) or a similar one (.8 of the trigram similarity from .45 on)."""
-    key = title_key(name)
+    key = title_fold(name)
     words = F.split(key, " ")
 
     def word(q: str) -> Column:
@@ -102,8 +168,14 @@ def search_score(query: str, name: Column) -> Column:
 
 
 def initials_compatible(a: Column, b: Column) -> Column:
-    """Two name keys with the same surname whose other words agree in order, a single
-    letter standing for a word that begins with it; equal keys do not count."""
+    """Two name keys with the same surname: each other word of the shorter one fits, in
+    order, a word of the longer one, as the whole word or by its initial. Equal keys do not count."""
     x, y = F.split(a, " "), F.split(b, " ")
-    rest = F.zip_with(F.slice(x, F.lit(2), F.size(x)), F.slice(y, F.lit(2), F.size(y)), lambda s, t: F.coalesce((s == t) | (((F.length(s) == 1) | (F.length(t) == 1)) & (F.substring(s, 1, 1) == F.substring(t, 1, 1))), F.lit(False)))
-    return (a != b) & (x[0] == y[0]) & (F.size(x) == F.size(y)) & (F.size(x) > 1) & F.forall(rest, lambda v: v)
+    rest = lambda w: F.slice(w, F.lit(2), F.size(w))
+    turn = F.size(x) <= F.size(y)
+    short, long = F.when(turn, rest(x)).otherwise(rest(y)), F.when(turn, rest(y)).otherwise(rest(x))
+    # the index behind the last fitted word; null once a word found none
+    fits = lambda s, t: (s == t) | ((F.length(s) == 1) & F.startswith(t, s)) | ((F.length(t) == 1) & F.startswith(s, t))
+    place = lambda at, s: F.array_min(F.filter(F.transform(long, lambda t, i: F.when((i >= at) & fits(s, t), i + 1)), lambda v: v.isNotNull()))
+    end = F.aggregate(short, F.lit(0), lambda at, s: place(at, s))
+    return (a != b) & (x[0] == y[0]) & (F.size(x) > 1) & (F.size(y) > 1) & end.isNotNull()

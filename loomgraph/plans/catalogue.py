@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from loomgraph.plans import facts, graphs, networks, texts, upkeep, views
+from loomgraph.plans import facts, graphs, networks, strings, texts, upkeep, views
 
-MODULES = [graphs, networks, facts, texts, views, upkeep]
+MODULES = [graphs, networks, facts, texts, strings, views, upkeep]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

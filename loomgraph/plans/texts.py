@@ -12,11 +12,11 @@ from loomgraph.sources.tables import read_table
 R = Registry()
 query = R.query
 
-_DEG = "('dr','dr.','prof','prof.','phd','csc','dsc','habil','habil.','ifj.','id.','özv.')"
+_DEG = "(" + ",".join(f"'{x}'" for x in text.DEGREES) + ")"
 _SQ = r"trim(regexp_replace({0}, '[\s' || chr(160) || ']+', ' ', 'g'))"
 _WORDS = f"list_filter(string_split({_SQ.format('replace(canonical_name, chr(44), chr(32))')}, ' '), lambda w: w <> '')"
 _CLEAN = f"array_to_string([w for w in string_split({_SQ.format('replace(canonical_name, chr(44), chr(32))')}, ' ') if lower(w) NOT IN {_DEG} AND w <> ''], ' ')"
-_KEY = "trim(regexp_replace(regexp_replace(lower(strip_accents(" + _CLEAN + r")), '[^a-z\s-]', ' ', 'g'), '\s+', ' ', 'g'))"
+_KEY = "trim(regexp_replace(regexp_replace(lower(strip_accents(" + _CLEAN + r")), '[^a-z\s]', ' ', 'g'), '\s+', ' ', 'g'))"
 _NAMES = "(SELECT DISTINCT canonical_id, canonical_name FROM person WHERE canonical_name IS NOT NULL)"
 _TITLES = "(SELECT DISTINCT canonical_id, title FROM project WHERE title IS NOT NULL)"
 
@@ -46,22 +46,6 @@ def slugify(spark, d):
     return _titles(spark, d).select("canonical_id", text.slug(F.col("title")).alias("slug"))
 
 
-@query(f"SELECT canonical_id, trim(regexp_replace(lower(strip_accents(title)), '[^a-z0-9]+', ' ', 'g')) AS title_key FROM {_TITLES}")
-def title_key(spark, d):
-    return _titles(spark, d).select("canonical_id", text.title_key(F.col("title")).alias("title_key"))
-
-
-@query("SELECT DISTINCT canonical_id, grant_id, array_to_string(['grant:' || x for x in regexp_extract_all(grant_id, '(\\d{5,6})', 1)], ',') AS grant_keys FROM project WHERE grant_id IS NOT NULL")
-def grant_keys(spark, d):
-    p = read_table(spark, d, "project", "canonical_id", "grant_id").filter("grant_id IS NOT NULL").distinct()
-    return p.select("canonical_id", "grant_id", F.array_join(text.grant_keys(F.col("grant_id")), ",").alias("grant_keys"))
-
-
-@query(r"SELECT doc_id, regexp_replace(regexp_replace(text, '[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+', '[email]', 'g'), '\+[0-9]{2}[0-9 ]{6,}[0-9]', '[phone]', 'g') AS scrubbed FROM documents WHERE text IS NOT NULL")
-def scrub_text(spark, d):
-    return read_table(spark, d, "documents", "doc_id", "text").filter("text IS NOT NULL").select("doc_id", text.scrub(F.col("text")).alias("scrubbed"))
-
-
 @query(r"""SELECT claim_id, CASE WHEN length(s) > 80 THEN substr(s, 1, 79) || '…' ELSE s END AS snippet FROM
   (SELECT DISTINCT claim_id, trim(regexp_replace(snippet, '\s+', ' ', 'g')) AS s FROM claims WHERE snippet IS NOT NULL)""")
 def snippet_trim(spark, d):
@@ -87,9 +71,9 @@ def trigram_similarity(spark, d):
 def search_score(spark, d):
     """Exact and prefix hits; the fuzzy part of the score is covered by tests."""
     t = _titles(spark, d)
-    words = F.split(text.title_key(F.col("title")), " ")
+    words = F.split(text.title_fold(F.col("title")), " ")
     hit = lambda q: F.array_max(F.transform(words, lambda w: F.when(w == q, 1.0).when(F.startswith(w, F.lit(q)), 0.85).otherwise(0.0)))
-    whole = F.when(F.instr(text.title_key(F.col("title")), "helyi kozoss") > 0, 1.0).otherwise(0.9)
+    whole = F.when(F.instr(text.title_fold(F.col("title")), "helyi kozoss") > 0, 1.0).otherwise(0.9)
     s = t.select("canonical_id", hit("helyi").alias("a"), hit("kozoss").alias("b"), whole.alias("w")).filter("a > 0 AND b > 0")
     return s.select("canonical_id", F.round(100 * (F.col("a") + F.col("b")) / 2 * F.col("w") * 1000).cast("bigint").alias("score"))
 
@@ -101,23 +85,13 @@ def search_fuzzy(spark, d):
     return n.filter("score > 0").orderBy(F.desc("score"), "canonical_id").limit(25)
 
 
-@query(f"""WITH k AS (SELECT DISTINCT {_KEY} AS k FROM {_NAMES}), s AS (SELECT k, string_split(k, ' ') AS w FROM k)
-  SELECT a.k AS short_key, b.k AS long_key FROM s a JOIN s b ON a.w[1] = b.w[1] AND len(a.w) = 2 AND len(b.w) = 2 AND a.k <> b.k
-  WHERE length(a.w[2]) = 1 AND substr(b.w[2], 1, 1) = a.w[2]""")
-def initials_candidates(spark, d):
-    keys = _names(spark, d).select(text.name_key(F.col("canonical_name")).alias("k")).distinct().withColumn("surname", F.substring_index("k", " ", 1))
-    pairs = keys.alias("a").join(keys.alias("b"), "surname").filter(text.initials_compatible(F.col("a.k"), F.col("b.k")))
-    short = (F.size(F.split("a.k", " ")) == 2) & (F.length(F.substring_index("a.k", " ", -1)) == 1)
-    return pairs.filter(short).select(F.col("a.k").alias("short_key"), F.col("b.k").alias("long_key"))
-
-
-_HOST = r"nullif(regexp_replace(lower(regexp_extract({0}, '^[a-zA-Z]+://([^/?#:]+)', 1)), '^(www|m)\.', ''), '')"
-_URL = rf"""'https://' || {_HOST.format('u')} || regexp_replace(regexp_replace(regexp_extract(regexp_replace(u, '#.*$', ''), '^[a-zA-Z]+://[^/?]+([^?]*)', 1), '/{{2,}}', '/', 'g'), '/+$', '')
-  || CASE WHEN q = '' THEN '' ELSE '?' || q END"""
+_HOST = r"nullif(lower(regexp_extract({0}, '^[a-zA-Z]+://([^/?#:]+)', 1)), '')"
+_PATH = r"regexp_replace(regexp_extract(regexp_replace(trim(u), '#.*$', ''), '^[a-zA-Z]+://[^/?]+([^?]*)', 1), '/{2,}', '/', 'g')"
+_URL = f"""'https://' || {_HOST.format('u')} || CASE WHEN length({_PATH}) <= 1 THEN '/' ELSE regexp_replace({_PATH}, '/+$', '') END || CASE WHEN q = '' THEN '' ELSE '?' || q END"""
 
 
 @query(rf"""SELECT doc_id, {_URL} AS canonical, {_HOST.format('u')} AS host FROM (SELECT doc_id, u, array_to_string(list_sort([p for p in string_split(regexp_extract(u, '\?([^#]*)', 1), '&')
-  if p <> '' AND string_split(p, '=')[1] NOT IN ('utm_source','utm_medium','utm_campaign','fbclid','gclid')]), '&') AS q FROM (SELECT doc_id, final_url AS u FROM documents WHERE final_url IS NOT NULL))""")
+  if regexp_matches(p, '=.') AND string_split(p, '=')[1] NOT IN ('utm_source','utm_medium','utm_campaign','fbclid','gclid')]), '&') AS q FROM (SELECT doc_id, final_url AS u FROM documents WHERE final_url IS NOT NULL))""")
 def canonical_url(spark, d):
     u = read_table(spark, d, "documents", "doc_id", "final_url").filter("final_url IS NOT NULL")
     return u.select("doc_id", urls.canonical_url(F.col("final_url")).alias("canonical"), urls.host(F.col("final_url")).alias("host"))
@@ -184,7 +158,7 @@ def taxonomy_match(spark, d):
   SELECT a.k AS short_key, b.k AS long_key FROM k a JOIN k b ON length(a.k) >= 20 AND starts_with(b.k, a.k || ' ')""")
 def prefix_join(spark, d):
     """Titles that go on where another ends: an equi-join on the first 20 characters, then the exact test."""
-    k = _titles(spark, d).select(text.title_key(F.col("title")).alias("k")).distinct().filter(F.length("k") >= 20).withColumn("b", F.substring("k", 1, 20))
+    k = _titles(spark, d).select(text.title_fold(F.col("title")).alias("k")).distinct().filter(F.length("k") >= 20).withColumn("b", F.substring("k", 1, 20))
     pairs = k.alias("a").join(k.alias("c"), "b").filter(F.startswith(F.col("c.k"), F.concat(F.col("a.k"), F.lit(" "))))
     return pairs.select(F.col("a.k").alias("short_key"), F.col("c.k").alias("long_key"))
 

@@ -163,7 +163,7 @@ def review_upper_bound(spark, d):
   SELECT DISTINCT canonical_id, term FROM k JOIN t ON contains(' ' || array_to_string(w, ' ') || ' ', ' ' || term || ' ') WHERE len(string_split(term, ' ')) <= 3""")
 def contains_join(spark, d):
     """Titles that contain a term: an equi-join of the titles' word runs with the terms, no pairwise test."""
-    key = lambda c: text.title_key(F.col(c))
+    key = lambda c: text.title_fold(F.col(c))
     k = read_table(spark, d, "project", "canonical_id", "title").filter("title IS NOT NULL").distinct().select("canonical_id", F.split(key("title"), " ").alias("w"))
     runs = lambda n: F.when(F.size("w") >= n, F.transform(F.sequence(F.lit(1), F.size("w") - n + 1), lambda i: F.array_join(F.slice("w", i, F.lit(n)), " "))).otherwise(F.array().cast("array<string>"))
     words = k.select("canonical_id", F.explode(F.array_distinct(F.concat(runs(1), runs(2), runs(3)))).alias("term"))
