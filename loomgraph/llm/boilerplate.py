@@ -21,8 +21,9 @@ from __future__ import annotations
 import math
 import re
 from collections.abc import Iterator, Mapping
+from functools import lru_cache
 from html.parser import HTMLParser
-from unicodedata import normalize
+from unicodedata import is_normalized, normalize
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -60,7 +61,6 @@ FURNITURE = re.compile(
     r"|(?:Cím|Address|Adresse): ?\d{4} .*\d+\.$"
     r"|(?:Telefon|Phone|Tel\.?): ?[+\d]"
     r"|Copyright ©|©"
-    r"|.* · \d{4} .* · \S+@\S+$"
     r"|(?:Ez az oldal|Weboldalunk|A honlap) .*\b(?:sütiket|cookie-kat).* (?:használ|alkalmaz)\b.*(?:érdekében|céljából|működéshez és statisztikához)\."
     r"|(?:This page|This site|Our website) (?:uses|stores) cookies\b"
     r"|(?:Unsere Website|Diese Seite) (?:verwendet|speichert) Cookies\b"
@@ -68,6 +68,7 @@ FURNITURE = re.compile(
     r"|By continuing you agree to this\.$|You may change your settings at any time\.$|Read more in our privacy notice\.$"
     r"|Mit der Nutzung stimmen Sie zu\.$|Mehr dazu in der Datenschutzerklärung\.$|Sie können die Einstellungen jederzeit ändern\.$"
 )
+ADDRESS = re.compile(r".* · \d{4} .* · \S+@\S+$")
 SITE = re.compile(r"[A-Z]{2,4} \S.* (?:Intézet|Institute|Institut)$")
 DAY = re.compile(r"\d{4}-\d{2}-\d{2}$")
 SUBHEAD = re.compile(
@@ -134,10 +135,8 @@ def page_lines(text: str) -> tuple[list[str], list[int]]:
     return lines, parser.tags
 
 
-def density(lines: list[str], tags: list[int], template: Mapping[int, int] | None = None) -> tuple[list[float], float]:
-    """Smoothed text-to-tag ratio of each line and the page's threshold; lines of the template are links."""
-    known = template or {}
-    ratio = [0.0 if i in known or is_furniture(x) else len(x) / max(1, t + len(SEPARATORS.findall(x))) for i, (x, t) in enumerate(zip(lines, tags))]
+def density(ratio: list[float]) -> tuple[list[float], float]:
+    """Smoothed text-to-tag ratio of each line and the page's threshold."""
     n = len(ratio)
     smooth = []
     for i in range(n):
@@ -161,14 +160,18 @@ def is_menu(line: str) -> bool:
     return len(parts) > 1 and all(p in MENU for p in parts)
 
 
+@lru_cache(maxsize=65_536)
 def is_furniture(line: str) -> bool:
     """Furniture by vocabulary alone, wherever it stands (teaser blocks aside)."""
-    return line in CONTROLS or line in NOTICES or line in RELATED or line in LATEST or is_menu(line) or bool(SITE.match(line)) or bool(FURNITURE.match(line))
+    return (
+        line in CONTROLS or line in NOTICES or line in RELATED or line in LATEST or is_menu(line) or bool(SITE.match(line))
+        or bool(FURNITURE.match(line)) or (" · " in line and bool(ADDRESS.match(line)))
+    )
 
 
 def compose(s: str) -> str:
     """Composed accents, no soft hyphens."""
-    return s if s.isascii() else normalize("NFC", s).replace("\u00ad", "")
+    return s if s.isascii() else (s if is_normalized("NFC", s) else normalize("NFC", s)).replace("\u00ad", "")
 
 
 def _squeeze(s: str) -> str:
@@ -188,31 +191,33 @@ def title_forms(page_title: str | None) -> set[str]:
     return {f.casefold() for f in forms if f and not SITE.match(f)}
 
 
-def path_lines(lines: list[str]) -> dict[int, str]:
+def path_lines(lines: list[str], folded: list[str]) -> dict[int, str]:
     """index -> tail of the lines that show the way to the page: parts parted by › or /,
     the last of which begins one of the next lines, or the first of which is a menu's."""
     out: dict[int, str] = {}
     for i, x in enumerate(lines):
         if "›" in x or " / " in x:
             tail = re.split(r"›| / ", x)[-1].strip().rstrip("….").casefold()
-            near = [y for y in lines[i + 1 : i + 8] if y]
-            if len(tail) > 2 and (any(_squeeze(y).casefold().startswith(tail) for y in near[:5]) or x.split(" / ")[0] in MENU):
+            near = [y for y in folded[i + 1 : i + 8] if y]
+            if len(tail) > 2 and (any(y.startswith(tail) for y in near[:5]) or x.split(" / ")[0] in MENU):
                 out[i] = tail
     return out
 
 
 class Page:
-    """One page with what is known of its lines: ``template`` has the learned flag of a line index."""
+    """One page with what is known of its lines: ``template`` has the learned flag of a line index;
+    None while it is being learned, when the bare text-to-tag ratio speaks alone."""
 
     def __init__(self, text: str, page_title: str | None, template: Mapping[int, int] | None = None):
-        raw, tags = page_lines(text)
-        self.lines = [_squeeze(x) if SEPARATORS.search(x) is None else compose(x).strip() for x in raw]
-        self.folded = [_squeeze(x).casefold() for x in self.lines]
-        self.template = template or {}
+        raw, tags = page_lines(compose(text))
+        self.lines = [" ".join(x.split()) if "  " not in (y := x.strip()) else y for x in raw]
+        self.folded = [(x if "  " not in x else " ".join(x.split())).casefold() for x in self.lines]
+        self.template = {} if template is None else template
         self.title = title_forms(page_title)
-        self.paths = path_lines(self.lines)
-        self.smooth, self.threshold = density(self.lines, tags, self.template)
+        self.paths = path_lines(self.lines, self.folded)
         self.links = [t + len(SEPARATORS.findall(x)) for x, t in zip(self.lines, tags)]
+        links = lambda i: i in self.template or (template is not None and is_furniture(self.lines[i]))
+        self.smooth, self.threshold = density([0.0 if links(i) else len(x) / max(1, k) for i, (x, k) in enumerate(zip(self.lines, self.links))])
 
     def furniture(self, i: int) -> bool:
         return i in self.template or i in self.paths or is_furniture(self.lines[i])
@@ -316,13 +321,13 @@ def body_lines(text: str | None, page_title: str | None, template: Mapping[int,
     """
     if not text or not text.strip():
         return []
-    return Page(text, page_title, template).body()
+    return Page(text, page_title, template or {}).body()
 
 
 def read_page(text: str, page_title: str | None) -> tuple:
     """What ``templates`` asks of a page."""
     page = Page(text, page_title)
-    return page.lines, page.smooth, page.threshold, page.titled(), page.paths, page.links
+    return page.lines, page.folded, page.smooth, page.threshold, page.titled(), page.paths, page.links
 
 
 def main_body(pages: DataFrame, key: str = "doc_id", text: str = "text", title: str = "page_title") -> DataFrame:

@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Callable, Iterator
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
@@ -36,46 +37,48 @@ HEADS = 0.5
 FURNITURE_FLAG, HEADER_FLAG = 1, 2
 
 DATED = re.compile(r"0+\W{1,3}0+\W{1,3}0+\W*$")
+ADDRESS, DIGIT, DIGITS = re.compile(r"\S+@\S+"), re.compile(r"\d"), re.compile(r"\d+")
 LABEL = re.compile(r"([^:]{2,24}): ")
 SENTENCE = re.compile(r"[.!?…。！？।؟][\"'”’»)\]）」』]*$")
 FEATURES = "p bigint, i int, h bigint, label boolean, dense boolean, head boolean, path boolean, linked boolean, dated boolean, sentence boolean"
 
 
 def form_of(line: str) -> str:
-    s = re.sub(r"\S+@\S+", "@", line.casefold())
-    return re.sub(r"\s+", " ", re.sub(r"\d+", "0", s)).strip()
+    s = line.casefold()
+    if "@" in s:
+        s = ADDRESS.sub("@", s)
+    return DIGITS.sub("0", s) if DIGIT.search(s) else s
 
 
 def line_features(pages: DataFrame, text: str, title: str, read: Callable) -> DataFrame:
     """FEATURES of every line that is not blank; ``p`` numbers the page by its content.
 
-    ``read(text, title)`` gives the lines, their smoothed ratios, the threshold,
-    the index of the heading that the title names (or None), the indexes of
-    path lines and the number of separators of each line.
+    ``read(text, title)`` gives the lines, the same in lower case, their smoothed
+    ratios, the threshold, the index of the heading that the title names (or
+    None), the indexes of path lines and the number of separators of each line.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
 
-        digest = lambda s: xxhash.xxh64_intdigest(s) - (1 << 63)
+        digest = lru_cache(65_536)(lambda s: xxhash.xxh64_intdigest(s) - (1 << 63))
         schema = pa.schema([("p", pa.int64()), ("i", pa.int32()), ("h", pa.int64()), *((c, pa.bool_()) for c in ("label", "dense", "head", "path", "linked", "dated", "sentence"))])
         for batch in batches:
-            out: list[list] = [[] for _ in schema]
+            rows: list[tuple] = []
             ids, texts, titles = batch.columns
             for p, t, name in zip(ids.to_pylist(), texts, titles):
-                lines, smooth, threshold, heading, paths, links = read(t.as_py(), name.as_py())
-                for i, x in enumerate(lines):
+                lines, folded, smooth, threshold, heading, paths, links = read(t.as_py(), name.as_py())
+                for i, x in enumerate(folded):
                     if not x:
                         continue
                     form = form_of(x)
-                    dated = bool(DATED.search(form)) and len(form) < 60
-                    for c, v in zip(out, (p, i, digest(form), False, smooth[i] > threshold, i == heading, i in paths, links[i] > 1, dated, bool(SENTENCE.search(x)))):
-                        c.append(v)
-                    label = LABEL.match(form)
+                    dated = len(form) < 60 and "0" in form and bool(DATED.search(form))
+                    rows.append((p, i, digest(form), False, smooth[i] > threshold, i == heading, i in paths, links[i] > 1, dated, bool(SENTENCE.search(lines[i][-6:]))))
+                    label = LABEL.match(form) if ": " in form else None
                     if label:
-                        for c, v in zip(out, (p, i, digest("\0" + label.group(1)), True, False, i == heading, False, False, False, False)):
-                            c.append(v)
-            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(out, schema)], schema=schema)
+                        rows.append((p, i, digest("\0" + label.group(1)), True, False, i == heading, False, False, False, False))
+            columns = list(zip(*rows)) or [()] * len(schema)
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
 
     return pages.select("p", text, title).mapInArrow(run, FEATURES)
 
