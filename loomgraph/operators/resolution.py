@@ -7,46 +7,60 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loomgraph.operators.graph import components
+from loomgraph.operators.skew import salted_join
 from loomgraph.session import cut
 
+#: A block with more records is split.
+BLOCK_ROWS = 20_000
+
 
 def candidate_pairs(records: DataFrame) -> DataFrame:
     """(a, b): pairs that share a hard id or an order-free name key, each once.
 
-    records (ref, name_key, hard_ids array<string>, ...). Blocks are exact keys;
-    a null or empty key blocks nothing.
+    records (ref, keys, free_keys, hard_ids, family, slug), arrays never null. An
+    empty key blocks nothing; a block of more than BLOCK_ROWS records is split.
     """
-    keys = F.concat(F.transform(F.coalesce("hard_ids", F.array().cast("array<string>")), lambda x: F.concat(F.lit("id|"), x)), F.array(F.concat(F.lit("name|"), "name_key")))
-    blocks = records.select("ref", F.explode(keys).alias("block")).filter("block IS NOT NULL AND block <> 'name|'").distinct()
-    pairs = blocks.alias("l").join(blocks.alias("r"), (F.col("l.block") == F.col("r.block")) & (F.col("l.ref") < F.col("r.ref")))
-    return pairs.select(F.col("l.ref").alias("a"), F.col("r.ref").alias("b")).distinct()
+    keys = F.concat(F.transform("hard_ids", lambda x: F.concat(F.lit("id|"), x)), F.transform("free_keys", lambda x: F.concat(F.lit("name|"), x)))
+    blocks = cut(records.select("ref", F.explode(keys).alias("block")).filter("block <> 'name|'").distinct())
+    met = salted_join(blocks.select("block", F.col("ref").alias("a")), blocks.select("block", F.col("ref").alias("b")), "block", "inner", BLOCK_ROWS)
+    return met.filter("a < b").select("a", "b").distinct()
 
 
 def pair_verdicts(records: DataFrame) -> DataFrame:
     """(a, b, status, method, score): the first rule that holds decides.
 
-    Hard ids of the same kind without a common value reject; a common id with
-    compatible names confirms; a common id alone, or the same name alone, is
-    possible (score .6, and .4 plus .15 for the same site). Same names are never
-    merged automatically.
+    A kind of hard id that both state without a common value rejects, whatever
+    other kinds say; a common id with compatible names (a common key of any of
+    their labels, in order or not) confirms; a common id alone, or the same name
+    alone, is possible (score .6, and .4 plus .15 for the same site family and
+    the same profile slug each). Same names are never merged automatically.
     """
-    of = lambda s: records.select(F.col("ref").alias(s), *[F.col(c).alias(f"{s}_{c}") for c in ("name_key", "hard_ids", "site")])
+    of = lambda s: records.select(F.col("ref").alias(s), *[F.col(c).alias(f"{s}_{c}") for c in ("keys", "free_keys", "hard_ids", "family", "slug")])
     p = candidate_pairs(records).join(of("a"), "a").join(of("b"), "b")
-    none = F.array().cast("array<string>")
-    x, y = F.coalesce("a_hard_ids", none), F.coalesce("b_hard_ids", none)
-    kinds = lambda c: F.transform(c, lambda v: F.substring_index(v, ":", 1))
-    shared = F.arrays_overlap(x, y)
-    conflict = F.arrays_overlap(kinds(x), kinds(y)) & ~shared
-    names = F.coalesce(F.col("a_name_key") == F.col("b_name_key"), F.lit(False))
-    site = F.coalesce(F.col("a_site") == F.col("b_site"), F.lit(False)).cast("int")
+    kind = lambda v: F.substring_index(v, ":", 1)
+    shared = F.array_intersect("a_hard_ids", "b_hard_ids")
+    both = F.array_intersect(F.transform("a_hard_ids", kind), F.transform("b_hard_ids", kind))
+    p = p.select("*", shared.alias("shared"), F.transform(shared, kind).alias("shared_kinds"), both.alias("kinds"))
+    conflict = F.size(F.array_except("kinds", "shared_kinds")) > 0
+    agree = F.size("shared") > 0
+    names = F.arrays_overlap(F.concat("a_keys", "a_free_keys"), F.concat("b_keys", "b_free_keys"))
+    same = lambda c: F.coalesce(F.col(f"a_{c}") == F.col(f"b_{c}"), F.lit(False)).cast("int")
     rule = lambda status, method, score: F.struct(F.lit(status).alias("status"), F.lit(method).alias("method"), score.alias("score"))
     verdict = (
-        F.when(conflict, rule("REJECTED", "auto:conflicting_hard_id", F.lit(0.0))).when(shared & names, rule("CONFIRMED", "auto:hard_id+name", F.lit(1.0)))
-        .when(shared, rule("POSSIBLE", "auto:hard_id_name_mismatch", F.lit(0.6))).otherwise(rule("POSSIBLE", "auto:same_name", F.least(F.lit(0.85), F.round(0.4 + 0.15 * site, 2))))
+        F.when(conflict, rule("REJECTED", "auto:conflicting_hard_id", F.lit(0.0))).when(agree & names, rule("CONFIRMED", "auto:hard_id+name", F.lit(1.0)))
+        .when(agree, rule("POSSIBLE", "auto:hard_id_name_mismatch", F.lit(0.6))).otherwise(rule("POSSIBLE", "auto:same_name", F.least(F.lit(0.85), F.round(0.4 + 0.15 * (same("family") + same("slug")), 2))))
     )
     return p.select("a", "b", verdict.alias("v")).select("a", "b", "v.*")
 
 
+def structural_matches(records: DataFrame) -> DataFrame:
+    """(left, right, entity_type, method, score): records (ref, t, k) of one type and name key
+    within one site, each joined to the first of its group."""
+    o = records.withColumn("site", F.substring_index("ref", "|", 1))
+    first = o.groupBy("t", "site", "k").agg(F.min("ref").alias("left"))
+    return o.join(first, ["t", "site", "k"]).filter("ref <> left").select("left", F.col("ref").alias("right"), F.col("t").alias("entity_type"), F.lit("auto:same_site_same_name").alias("method"), F.lit(0.95).alias("score")).distinct()
+
+
 def blocked_clusters(verdicts: DataFrame) -> DataFrame:
     """(ref, cluster): confirmed links joined in order (score descending, then a, b), where
     a link is left out if it would put two rejected records together.

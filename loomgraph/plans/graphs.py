@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomgraph.functions import text
 from loomgraph.operators import graph as G
 from loomgraph.operators import resolution as ER
 from loomgraph.plans.registry import Registry
@@ -245,32 +244,6 @@ def identity_variants(spark, d):
     return v.groupBy("variant").agg(F.count(F.lit(1)).alias("memberships"), F.countDistinct("person").alias("persons"), F.countDistinct("project").alias("projects"))
 
 
-_REC = """r AS (SELECT canonical_id AS ref, max(lower(strip_accents(label))) AS name_key, list_distinct(list_filter([CASE WHEN max(orcid) IS NOT NULL THEN 'orcid:' || max(orcid) END, CASE WHEN max(mtmt_id) IS NOT NULL THEN 'mtmt:' || max(mtmt_id) END], lambda x: x IS NOT NULL)) AS ids,
-  min(split_part(source_refs[1], '|', 1)) AS site FROM person GROUP BY 1)"""
-_PAIR = "c AS (SELECT a.ref AS a, b.ref AS b, a.name_key AS na, b.name_key AS nb, a.ids AS x, b.ids AS y, a.site AS sa, b.site AS sb FROM r a JOIN r b ON a.ref < b.ref AND (a.name_key = b.name_key OR list_has_any(a.ids, b.ids)))"
-
-
-def person_records(spark: SparkSession, d: str) -> DataFrame:
-    """(ref, name_key, hard_ids, site) of each person."""
-    p = read_table(spark, d, "person", "canonical_id", "label", "orcid", "mtmt_id", "source_refs")
-    g = p.groupBy(F.col("canonical_id").alias("ref")).agg(F.max(F.lower(text.strip_accents(F.col("label")))).alias("name_key"), F.max("orcid").alias("o"), F.max("mtmt_id").alias("m"), F.min(F.substring_index(F.try_element_at("source_refs", F.lit(1)), "|", 1)).alias("site"))
-    ids = F.array_compact(F.array(F.concat(F.lit("orcid:"), "o"), F.concat(F.lit("mtmt:"), "m")))
-    return g.select("ref", "name_key", ids.alias("hard_ids"), "site")
-
-
-@query(f"WITH {_REC}, {_PAIR} SELECT a, b FROM c")
-def candidate_pairs(spark, d):
-    return ER.candidate_pairs(person_records(spark, d))
-
-
-@query(f"""WITH {_REC}, {_PAIR}, k AS (SELECT *, list_has_any(x, y) AS shared, list_has_any([split_part(v, ':', 1) for v in x], [split_part(v, ':', 1) for v in y]) AS kinds, coalesce(na = nb, false) AS names FROM c)
-  SELECT a, b, CASE WHEN kinds AND NOT shared THEN 'REJECTED' WHEN shared AND names THEN 'CONFIRMED' ELSE 'POSSIBLE' END AS status,
-  CASE WHEN kinds AND NOT shared THEN 'auto:conflicting_hard_id' WHEN shared AND names THEN 'auto:hard_id+name' WHEN shared THEN 'auto:hard_id_name_mismatch' ELSE 'auto:same_name' END AS method,
-  CASE WHEN kinds AND NOT shared THEN 0.0 WHEN shared AND names THEN 1.0 WHEN shared THEN 0.6 ELSE CASE WHEN sa = sb THEN 0.55 ELSE 0.4 END END AS score FROM k""")
-def pair_verdicts(spark, d):
-    return ER.pair_verdicts(person_records(spark, d))
-
-
 @query()
 def clusters_blocked(spark, d):
     """Clusters of the confirmed match rows, where rejected rows block joins."""

@@ -37,8 +37,8 @@ _TKEY = f"(SELECT canonical_id, title, CASE WHEN s = '' THEN title ELSE s END AS
 def title_key(spark, d):
     """Titles without period, grant, funder, role, site and year affixes, taken off to the fixpoint (four passes)."""
     t = _titles(spark, d)
-    bare = text.strip_affixes(F.col("title"))
-    return t.select("canonical_id", bare.alias("bare_title"), text.title_fold(bare).alias("title_key"))
+    bare = F.transform(F.array("title"), lambda t: text.strip_affixes(t))[0]  # as one generated method the patterns would not compile
+    return t.select("canonical_id", bare.alias("bare_title")).withColumn("title_key", text.title_fold(F.col("bare_title")))
 
 
 _GRANTS = f"list_distinct(list_concat(regexp_extract_all(t, {_re(text.GRANT)}, 1), regexp_extract_all(t, {_re(text.GRANT_BEHIND)}, 1)))"
