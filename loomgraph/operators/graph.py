@@ -89,3 +89,72 @@ def components(edges: DataFrame) -> DataFrame:
     labels travel as numbers (``operators/components.py``)."""
     pairs = edges.filter("src <> dst").select(F.least("src", "dst").alias("a"), F.greatest("src", "dst").alias("b")).distinct()
     return labelled(cut(pairs)).select(F.col("ref").alias("id"), F.col("label").alias("component"))
+
+
+WEIGHTINGS = ["unweighted", "project_count", "size_discounted"]
+
+
+def projection(membership: DataFrame, weighting: str, drop_from: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """Nodes (person) and edges (a, b, weight) of the co-participation graph.
+
+    unweighted: 1 for a tied pair; project_count: the common projects;
+    size_discounted: 1/(n-1) for each common project of n persons. Projects of
+    ``drop_from`` and more persons tie nobody, but their persons stay as isolates.
+    """
+    m = membership.select("project", "person").distinct()
+    kept = m
+    if drop_from is not None:
+        kept = m.join(m.groupBy("project").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") < drop_from).select("project"), "project", "left_semi")
+    t = ties(kept)
+    weight = {"unweighted": F.lit(1.0), "project_count": F.col("shared").cast("double"), "size_discounted": F.col("weight")}[weighting]
+    return m.select("person").distinct(), t.select("a", "b", weight.alias("weight"))
+
+
+def reachable_by(edges: DataFrame, seeds: DataFrame, hops_types: list[list[str]]) -> DataFrame:
+    """(id, hop): what seeds (id) reach if hop k follows only edges of the k-th list of types, either way; hop = first reach."""
+    both = edges.select("src", "dst", "type").unionByName(edges.select(F.col("dst").alias("src"), F.col("src").alias("dst"), "type")).distinct()
+    frontier = reached = cut(seeds.select("id").distinct().withColumn("hop", F.lit(0)))
+    for k, types in enumerate(hops_types, 1):
+        step = frontier.join(both.filter(F.col("type").isin(*types)), F.col("id") == F.col("src")).select(F.col("dst").alias("id")).distinct()
+        frontier = cut(step.join(reached.select("id"), "id", "left_anti").withColumn("hop", F.lit(k)))
+        reached = reached.unionByName(frontier)
+    return reached
+
+
+def shortest_paths(edges: DataFrame, seeds: DataFrame, depth: int) -> DataFrame:
+    """(id, hop, path): a shortest path from the nearest seed, ids joined by >; of several the one of least predecessors."""
+    both = cut(edges.select("src", "dst").unionByName(edges.select(F.col("dst").alias("src"), F.col("src").alias("dst"))).distinct())
+    frontier = reached = cut(seeds.select("id").distinct().select("id", F.lit(0).alias("hop"), F.col("id").alias("path")))
+    for k in range(1, depth + 1):
+        step = frontier.join(both, F.col("id") == F.col("src")).groupBy(F.col("dst").alias("id")).agg(F.min_by("path", "src").alias("p"))
+        frontier = cut(step.join(reached.select("id"), "id", "left_anti").select("id", F.lit(k).alias("hop"), F.concat("p", F.lit(">"), "id").alias("path")))
+        if frontier.isEmpty():
+            break
+        reached = reached.unionByName(frontier)
+    return reached
+
+
+def top_ancestors(units: DataFrame, part_of: DataFrame) -> DataFrame:
+    """(node, top): the ancestors of a unit (itself included) that are part of nothing; on a cycle there are none.
+
+    units (id), part_of (src, dst)."""
+    above = closure(part_of)
+    all_up = units.select(F.col("id").alias("node"), F.col("id").alias("top")).unionByName(above.select("node", F.col("ancestor").alias("top"))).distinct()
+    inner = part_of.filter("src IS NOT NULL AND dst IS NOT NULL AND src <> dst").select(F.col("src").alias("top")).distinct()
+    return all_up.join(inner, "top", "left_anti").select("node", "top")
+
+
+def label_agreement(pairs: DataFrame, a: str, b: str) -> DataFrame:
+    """One row (n, nmi_millionths): normalised mutual information of two labelings, arithmetic mean of the entropies.
+
+    Null for fewer than two rows; 1 if both labelings have one label, 0 if only one has.
+    """
+    c = pairs.filter(F.col(a).isNotNull() & F.col(b).isNotNull()).groupBy(F.col(a).alias("x"), F.col(b).alias("y")).agg(F.count(F.lit(1)).alias("n"))
+    cx, cy = c.groupBy("x").agg(F.sum("n").alias("nx")), c.groupBy("y").agg(F.sum("n").alias("ny"))
+    total = c.agg(F.sum("n").alias("t"))
+    entropy = lambda df, k, out: df.crossJoin(F.broadcast(total)).agg(F.sum(-(F.col(k) / F.col("t")) * F.log(F.col(k) / F.col("t"))).alias(out))
+    mutual = c.join(cx, "x").join(cy, "y").crossJoin(F.broadcast(total)).agg(F.sum(F.col("n") / F.col("t") * F.log(F.col("n") * F.col("t") / (F.col("nx") * F.col("ny")))).alias("mi"))
+    one = mutual.crossJoin(entropy(cx, "nx", "hx")).crossJoin(entropy(cy, "ny", "hy")).crossJoin(total)  # single rows
+    tiny = 1e-12
+    value = F.when(F.coalesce("t", F.lit(0)) < 2, F.lit(None)).when((F.col("hx") < tiny) & (F.col("hy") < tiny), 1.0).when((F.col("hx") < tiny) | (F.col("hy") < tiny), 0.0).otherwise(F.col("mi") / ((F.col("hx") + F.col("hy")) / 2))
+    return one.select(F.coalesce("t", F.lit(0)).alias("n"), F.round(value * 1_000_000).cast("bigint").alias("nmi_millionths"))

@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from loomgraph.plans import canon, facts, graphs, identity, networks, strings, texts, upkeep, views
+from loomgraph.plans import canon, facts, graphs, identity, networks, strings, structure, texts, upkeep, views
 
-MODULES = [graphs, networks, facts, texts, strings, identity, canon, views, upkeep]
+MODULES = [graphs, networks, facts, texts, strings, identity, canon, structure, views, upkeep]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -239,21 +239,6 @@ def spearman(spark, d):
     return r.agg(F.round(F.corr("rx", "ry") * 1000000).cast("bigint").alias("rho_millionths"), F.count(F.lit(1)).alias("n"))
 
 
-@query("""WITH c AS (SELECT coalesce(lang,'-') AS a, source AS b, count(*) AS n FROM documents GROUP BY ALL), t AS (SELECT sum(n) AS t FROM c),
-  a AS (SELECT a, sum(n) AS n FROM c GROUP BY 1), b AS (SELECT b, sum(n) AS n FROM c GROUP BY 1),
-  ha AS (SELECT -sum(n / t * ln(n / t)) AS h FROM a, t), hb AS (SELECT -sum(n / t * ln(n / t)) AS h FROM b, t),
-  mi AS (SELECT sum(c.n / t * ln(c.n * t / (a.n * b.n))) AS m FROM c JOIN a USING (a) JOIN b USING (b), t)
-  SELECT CAST(round(m / sqrt(ha.h * hb.h) * 1000000) AS BIGINT) AS nmi_millionths FROM mi, ha, hb""")
-def nmi(spark, d):
-    """Normalised mutual information of two labelings, from their contingency table."""
-    c = read_table(spark, d, "documents", "lang", "source").groupBy(F.coalesce("lang", F.lit("-")).alias("a"), F.col("source").alias("b")).agg(F.count(F.lit(1)).alias("n"))
-    total = F.sum("n").over(Window.partitionBy(F.lit(0)))
-    c = c.select("a", "b", "n", total.alias("t"), F.sum("n").over(Window.partitionBy("a")).alias("na"), F.sum("n").over(Window.partitionBy("b")).alias("nb"))
-    part = lambda x: -(x / F.col("t")) * F.log(x / F.col("t"))
-    terms = c.select((F.col("n") / F.col("t") * F.log(F.col("n") * F.col("t") / (F.col("na") * F.col("nb")))).alias("m"), (part(F.col("na")) * F.col("n") / F.col("na")).alias("ha"), (part(F.col("nb")) * F.col("n") / F.col("nb")).alias("hb"))
-    return terms.agg(F.round(F.sum("m") / F.sqrt(F.sum("ha") * F.sum("hb")) * 1000000).cast("bigint").alias("nmi_millionths"))
-
-
 @query("""SELECT c_custkey, o_orderdate AS last_order, l_last AS prior_order FROM (SELECT o_custkey AS c_custkey, o_orderdate, lag(o_orderdate) OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS l_last FROM orders) WHERE l_last IS NOT NULL AND o_orderdate - l_last < INTERVAL 30 DAY""")
 def snapshot_reuse(spark, d):
     """Gap test: rows whose previous row of the same key is younger than 30 days."""

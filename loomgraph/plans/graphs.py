@@ -156,14 +156,6 @@ def cycle_check(spark, d):
     return e.join(back, ["source_id", "target_id"], "left_semi").unionByName(own).select(F.col("source_id").alias("unit"), F.col("target_id").alias("other"))
 
 
-@query("""WITH c AS (SELECT target_id AS unit, count(DISTINCT source_id) AS n FROM relations WHERE type = 'AFFILIATED_WITH' AND target_id IS NOT NULL GROUP BY 1), t AS (SELECT sum(n) AS t FROM c)
-  SELECT CAST(sum(n * n) AS BIGINT) AS square_sum, CAST(max(t) AS BIGINT) AS total, CAST(round(1000000 * sum(n * n) / (max(t) * max(t))) AS BIGINT) AS hhi_millionths FROM c, t""")
-def herfindahl(spark, d):
-    c = read_table(spark, d, "relations", "type", "source_id", "target_id").filter("type = 'AFFILIATED_WITH' AND target_id IS NOT NULL").groupBy("target_id").agg(F.countDistinct("source_id").alias("n"))
-    sq, total = F.sum(F.col("n") * F.col("n")), F.sum("n")
-    return c.agg(sq.alias("square_sum"), total.alias("total"), F.round(1000000 * sq / (total * total)).cast("bigint").alias("hhi_millionths"))
-
-
 @query(f"WITH {_MEM} SELECT a.person AS a, b.person AS b, count(DISTINCT a.project) AS n_via, string_agg(DISTINCT a.project, ',' ORDER BY a.project) AS via FROM m a JOIN m b ON a.project = b.project AND a.person < b.person GROUP BY 1, 2 HAVING count(DISTINCT a.project) > 1")
 def ego_shared_hubs(spark, d):
     m = membership(spark, d)

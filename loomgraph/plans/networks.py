@@ -23,11 +23,6 @@ def betweenness(spark, d):
     return centrality.betweenness(_ties(spark, d))
 
 
-@query()
-def communities(spark, d):
-    return centrality.communities(_ties(spark, d))
-
-
 @query("""SELECT c.subject.source_ref AS source_ref, d.url AS page_url, count(*) AS n_claims, min(c.observed_at IS NULL)::INT AS undated, string_agg(DISTINCT c.predicate, ',' ORDER BY c.predicate) AS predicates
   FROM (SELECT DISTINCT claim_id, subject, predicate, document_id, observed_at FROM claims) c JOIN (SELECT document_id, min(url) AS url FROM documents GROUP BY 1) d ON d.document_id = c.document_id
   WHERE c.subject.source_ref IS NOT NULL AND d.url IS NOT NULL AND split_part(c.subject.source_ref, '|', 2) <> d.url GROUP BY 1, 2""")
