@@ -180,30 +180,6 @@ def referential_filter(spark, d):
     return held.select("relation_id", "type").distinct()
 
 
-@query("""SELECT 'person_without_affiliation' AS finding, count(*) AS n FROM (SELECT DISTINCT canonical_id FROM person) p WHERE NOT EXISTS (SELECT 1 FROM relations r WHERE r.type = 'AFFILIATED_WITH' AND r.source_id = p.canonical_id)
-  UNION ALL SELECT 'unit_without_parent', count(*) FROM org_units u WHERE entity_type = 'OrganisationalUnit' AND NOT EXISTS (SELECT 1 FROM relations r WHERE r.type = 'PART_OF' AND r.source_id = u.canonical_id)
-  UNION ALL SELECT 'project_without_people', count(*) FROM (SELECT DISTINCT canonical_id FROM project) p WHERE NOT EXISTS (SELECT 1 FROM relations r WHERE r.type IN ('PARTICIPATES_IN','PRINCIPAL_INVESTIGATOR_OF') AND r.target_id = p.canonical_id)
-  UNION ALL SELECT 'reversed_interval', count(*) FROM claims WHERE valid_from > valid_until
-  UNION ALL SELECT 'confidence_out_of_range', count(*) FROM claims WHERE confidence < 0 OR confidence > 1""")
-def quality_findings(spark, d):
-    """Checks as one table of findings: anti-joins and predicates."""
-    r = read_table(spark, d, "relations", "type", "source_id", "target_id")
-    ids = lambda t, where="true": read_table(spark, d, t).filter(where).select(F.col("canonical_id").alias("id")).distinct()
-    lacks = lambda left, types, end: left.join(r.filter(F.col("type").isin(*types)).select(F.col(end).alias("id")), "id", "left_anti")
-    counted = lambda name, df: df.agg(F.lit(name).alias("finding"), F.count(F.lit(1)).alias("n"))
-    c = read_table(spark, d, "claims", "valid_from", "valid_until", "confidence")
-    parts = [
-        counted("person_without_affiliation", lacks(ids("person"), ["AFFILIATED_WITH"], "source_id")),
-        counted("unit_without_parent", lacks(ids("org_units", "entity_type = 'OrganisationalUnit'"), ["PART_OF"], "source_id")),
-        counted("project_without_people", lacks(ids("project"), ["PARTICIPATES_IN", "PRINCIPAL_INVESTIGATOR_OF"], "target_id")),
-        counted("reversed_interval", c.filter("valid_from > valid_until")), counted("confidence_out_of_range", c.filter("confidence < 0 OR confidence > 1")),
-    ]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
-
-
 @query("""(SELECT DISTINCT left_label AS name FROM matches WHERE left_label IS NOT NULL UNION SELECT right_label FROM matches WHERE right_label IS NOT NULL) EXCEPT SELECT canonical_name FROM person""")
 def set_difference(spark, d):
     m = read_table(spark, d, "matches", "left_label", "right_label")

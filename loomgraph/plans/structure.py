@@ -187,7 +187,7 @@ def descendants(spark, d):
     return up.filter("depth <= 6").select(F.col("ancestor").alias("root"), F.col("node").alias("descendant"), F.col("depth").alias("generation"))
 
 
-@query("""WITH RECURSIVE e AS (SELECT DISTINCT source_id AS s, target_id AS t FROM relations WHERE type = 'PART_OF' AND source_id IS NOT NULL AND target_id IS NOT NULL AND source_id <> target_id), w(start, node, path, n) AS (SELECT s, t, s || '>' || t, 1 FROM e WHERE s IN (SELECT s FROM e) UNION ALL SELECT w.start, e.t, w.path || '>' || e.t, n + 1 FROM w JOIN e ON e.s = w.node WHERE w.node <> w.start AND n < 12 AND (e.t = w.start OR NOT contains('>' || w.path || '>', '>' || e.t || '>')))
+@query("""WITH RECURSIVE e AS (SELECT DISTINCT source_id AS s, target_id AS t FROM relations WHERE type = 'PART_OF' AND source_id IS NOT NULL AND target_id IS NOT NULL AND source_id <> target_id), w(start, node, path, n) AS (SELECT s, t, s || '>' || t, 1 FROM e WHERE s IN (SELECT s FROM e) UNION ALL SELECT w.start, e.t, w.path || '>' || e.t, n + 1 FROM w JOIN e ON e.s = w.node WHERE w.node <> w.start AND n < 64 AND (e.t = w.start OR NOT contains('>' || w.path || '>', '>' || e.t || '>')))
   SELECT start AS unit, min(path) AS path FROM (SELECT start, path, n, min(n) OVER (PARTITION BY start) AS least FROM w WHERE node = start) WHERE n = least GROUP BY 1""")
 def cycle_paths(spark, d):
     """For each unit on a PART_OF cycle the shortest way back to itself, the least of several. Only edges on cycles are walked."""

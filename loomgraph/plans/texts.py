@@ -97,19 +97,6 @@ def canonical_url(spark, d):
     return u.select("doc_id", urls.canonical_url(F.col("final_url")).alias("canonical"), urls.host(F.col("final_url")).alias("host"))
 
 
-@query(rf"""WITH h AS (SELECT DISTINCT {_HOST.format('website')} AS host, canonical_id FROM org_units WHERE website IS NOT NULL),
-  one AS (SELECT host, min(canonical_id) AS owner FROM h WHERE host IS NOT NULL GROUP BY host),
-  d AS (SELECT doc_id, {_HOST.format('url')} AS host FROM documents)
-  SELECT doc_id, coalesce(owner, 'external:' || coalesce(d.host, 'none')) AS owner_source, CASE WHEN owner IS NOT NULL THEN 'in_scope' WHEN d.host LIKE '%.example' THEN 'other_site' ELSE 'external' END AS scope
-  FROM d LEFT JOIN one ON d.host = one.host""")
-def host_scope(spark, d):
-    hosts = read_table(spark, d, "org_units", "website", "canonical_id").select(urls.host(F.col("website")).alias("host"), "canonical_id")
-    one = hosts.filter("host IS NOT NULL").groupBy("host").agg(F.min("canonical_id").alias("owner"))
-    docs = read_table(spark, d, "documents", "doc_id", "url").select("doc_id", urls.host(F.col("url")).alias("host"))
-    scope = F.when(F.col("owner").isNotNull(), "in_scope").when(F.col("host").endswith(".example"), "other_site").otherwise("external")
-    return docs.join(one, "host", "left").select("doc_id", F.coalesce("owner", F.concat(F.lit("external:"), F.coalesce("host", F.lit("none")))).alias("owner_source"), scope.alias("scope"))
-
-
 @query("""SELECT doc_id, CASE WHEN url NOT LIKE 'http%' OR url IS NULL THEN 'not_http' WHEN url <> final_url THEN 'redirected' WHEN http_status IS NULL THEN 'unfetched'
   WHEN http_status >= 400 THEN 'failed' WHEN text IS NULL OR trim(text) = '' THEN 'empty' ELSE 'fetched' END AS decision FROM documents""")
 def fetch_decision(spark, d):
