@@ -85,11 +85,9 @@ def coalesce_versions(units: DataFrame, chunk_bits: int = CHUNK_BITS) -> DataFra
         blocks = blocks.withColumn("after", after)
     else:
         blocks = blocks.withColumn("after", F.lit(None).cast(units.schema["t"].dataType))
-    run = blocks.select("entity", "after", "runs", F.posexplode("runs").alias("i", "run"))
-    return run.select(
-        "entity", F.col("run.p").alias("p"), F.col("run.t").alias("t"),
-        F.coalesce(F.try_element_at("runs", F.col("i") + 2)["t"], F.col("after")).alias("next_t"),
-    )
+    # the next start joins each run inside the list, so no list is copied beside its members
+    ended = F.transform("runs", lambda x, i: F.struct(x["p"].alias("p"), x["t"].alias("t"), F.coalesce(F.try_element_at("runs", i + 2)["t"], F.col("after")).alias("next_t")))
+    return blocks.select("entity", F.explode(ended).alias("run")).select("entity", "run.p", "run.t", "run.next_t")
 
 
 def attribute_versions(

@@ -2,10 +2,11 @@
 
 Keys get ordinals once, in key order; a later call keeps known ordinals and
 appends new keys behind them. For each snapshot and container of 32,768
-ordinals a bitmap tells which keys are there; only containers with a member
-exist, so sparse stretches cost nothing. Current AND NOT previous gives the
-additions, previous AND NOT current the removals, and for the common bits two
-vectors of payload codes, both in ordinal order, show the changes.
+ordinals a compressed bitmap tells which keys are there: a list of positions
+while it has few members, 4,096 bytes of bits beyond; containers without a
+member do not exist. Current AND NOT previous gives the additions, previous AND
+NOT current the removals, and for the common members two vectors of payload
+codes, both in ordinal order, show the changes.
 """
 
 from __future__ import annotations
@@ -18,8 +19,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loomgraph.session import cut, cut_measured
+from loomgraph.sources.files import exists
 
 CONTAINER = 32_768
+#: A container with fewer members is a list of positions.
+SPARSE = 2_048
 
 
 def assign_ordinals(keys: DataFrame, known: DataFrame | None = None) -> DataFrame:
@@ -37,6 +41,16 @@ def assign_ordinals(keys: DataFrame, known: DataFrame | None = None) -> DataFram
     return cut(known.select("key", "ordinal").unionByName(fresh))
 
 
+def persistent_ordinals(keys: DataFrame, path: str) -> DataFrame:
+    """``assign_ordinals`` against the table at ``path``, which is made or grows by the new
+    keys: a key keeps its ordinal from delivery to delivery. keys (key)."""
+    spark = keys.sparkSession
+    known = spark.read.parquet(path) if exists(spark, path) else spark.createDataFrame([], f"key {keys.schema['key'].dataType.simpleString()}, ordinal bigint")
+    everything = assign_ordinals(keys, known)
+    everything.join(known.select("key"), "key", "left_anti").write.mode("append").parquet(path)
+    return everything
+
+
 def latest_per_snapshot(rows: DataFrame, key: str, date: str, recency: str, payload: Column) -> DataFrame:
     """(key, date, p): of several rows of a key and date the latest ``recency`` counts
     (equal: the greater payload; null is the oldest). Rows without key or date are left out."""
@@ -47,28 +61,41 @@ def latest_per_snapshot(rows: DataFrame, key: str, date: str, recency: str, payl
     )
 
 
+def _members(bits: pa.Scalar, positions: pa.Scalar) -> np.ndarray:
+    """Sorted members of a container in either form; none if it is absent."""
+    if bits.is_valid:
+        return np.flatnonzero(np.unpackbits(np.frombuffer(bits.as_buffer(), np.uint8), bitorder="little"))
+    return positions.values.to_numpy(zero_copy_only=False) if positions.is_valid else np.empty(0, np.int64)
+
+
+def _and_not(x: tuple[pa.Scalar, np.ndarray], y: tuple[pa.Scalar, np.ndarray]) -> np.ndarray:
+    """Members of x that y lacks: on the bits where both are bitmaps, else on the lists."""
+    (xb, xm), (yb, ym) = x, y
+    if xb.is_valid and yb.is_valid:
+        return np.flatnonzero(np.unpackbits(np.frombuffer(xb.as_buffer(), np.uint8) & ~np.frombuffer(yb.as_buffer(), np.uint8), bitorder="little"))
+    return np.setdiff1d(xm, ym, assume_unique=True)
+
+
 def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Containers of two neighbouring dates -> (bucket, date, position, change)."""
+    """Containers of two neighbouring dates -> (bucket, date, position, change); vectors are read from the Arrow buffers."""
     kinds = ["added", "removed", "changed"]
     for batch in batches:
-        cols = batch.to_pydict()
-        out: dict[str, list] = {"bucket": [], "date": [], "bit": [], "change_type": []}
-        for bucket, date, cur, prev, cur_a, cur_b, prev_a, prev_b in zip(*(cols[c] for c in ("bucket", "date", "cur", "prev", "cur_a", "cur_b", "prev_a", "prev_b"))):
-            now = np.frombuffer(cur, np.uint8) if cur else np.zeros(CONTAINER // 8, np.uint8)
-            old = np.frombuffer(prev, np.uint8) if prev else np.zeros(CONTAINER // 8, np.uint8)
-            bits = lambda x: np.flatnonzero(np.unpackbits(x, bitorder="little"))
-            hits = [bits(now & ~old), bits(old & ~now)]
-            both = bits(now & old)
-            if len(both):
-                i, j = np.searchsorted(bits(now), both), np.searchsorted(bits(old), both)
-                differ = (np.asarray(cur_a)[i] != np.asarray(prev_a)[j]) | (np.asarray(cur_b)[i] != np.asarray(prev_b)[j])
-                hits.append(both[differ])
+        c = dict(zip(batch.schema.names, batch.columns))
+        rows, bits, changes = [], [], []
+        for i in range(batch.num_rows):
+            now, old = _members(c["cur"][i], c["cur_pos"][i]), _members(c["prev"][i], c["prev_pos"][i])
+            hits = [_and_not((c["cur"][i], now), (c["prev"][i], old)), _and_not((c["prev"][i], old), (c["cur"][i], now))]
+            if len(now) and len(old):
+                both, at, was = np.intersect1d(now, old, assume_unique=True, return_indices=True)
+                vector = lambda name: c[name][i].values.to_numpy(zero_copy_only=False)
+                hits.append(both[(vector("cur_a")[at] != vector("prev_a")[was]) | (vector("cur_b")[at] != vector("prev_b")[was])])
             for kind, found in zip(kinds, hits):
-                out["bucket"] += [bucket] * len(found)
-                out["date"] += [date] * len(found)
-                out["bit"] += found.tolist()
-                out["change_type"] += [kind] * len(found)
-        yield pa.RecordBatch.from_pydict(out, schema=pa.schema([("bucket", pa.int64()), ("date", pa.date32()), ("bit", pa.int64()), ("change_type", pa.string())]))
+                rows.append(np.full(len(found), i))
+                bits.append(found.astype(np.int64))
+                changes += [kind] * len(found)
+        take = pa.array(np.concatenate(rows) if rows else np.empty(0, np.int64), pa.int64())
+        flat = pa.array(np.concatenate(bits) if bits else np.empty(0, np.int64), pa.int64())
+        yield pa.RecordBatch.from_arrays([c["bucket"].take(take), c["date"].take(take), flat, pa.array(changes, pa.string())], names=["bucket", "date", "bit", "change_type"])
 
 
 def snapshot_changes(rows: DataFrame, key: str, date: str, recency: str, payload: Column, ordinals: DataFrame | None = None) -> DataFrame:
@@ -92,18 +119,21 @@ def snapshot_changes(rows: DataFrame, key: str, date: str, recency: str, payload
     )
     vectors = placed.groupBy("bucket", "date").agg(
         F.bitmap_construct_agg("bit").alias("map"), F.array_sort(F.collect_list(F.struct("bit", "a", "b"))).alias("v")
-    ).select("bucket", "date", "map", F.col("v.a").alias("va"), F.col("v.b").alias("vb"))
+    )
+    dense = F.size("v") >= SPARSE
+    vectors = vectors.select("bucket", "date", F.when(dense, F.col("map")).alias("map"), F.when(~dense, F.col("v.bit")).alias("pos"), F.col("v.a").alias("va"), F.col("v.b").alias("vb"))
     vectors, size = cut_measured(vectors, n=F.count(F.lit(1)))
     later = F.broadcast(follows)  # one row a delivery
+    shape = "struct<map:binary,pos:array<bigint>,va:array<bigint>,vb:array<bigint>>"
     current = vectors.join(F.broadcast(follows.select(F.col("next").alias("date"))), "date").select(
-        "bucket", "date", F.struct("map", "va", "vb").alias("cur"), F.lit(None).cast("struct<map:binary,va:array<bigint>,vb:array<bigint>>").alias("prev")
+        "bucket", "date", F.struct("map", "pos", "va", "vb").alias("cur"), F.lit(None).cast(shape).alias("prev")
     )
     previous = vectors.join(later, "date").select(
-        "bucket", F.col("next").alias("date"), F.lit(None).cast("struct<map:binary,va:array<bigint>,vb:array<bigint>>").alias("cur"), F.struct("map", "va", "vb").alias("prev")
+        "bucket", F.col("next").alias("date"), F.lit(None).cast(shape).alias("cur"), F.struct("map", "pos", "va", "vb").alias("prev")
     )
     pairs = current.unionByName(previous).groupBy("bucket", "date").agg(
         F.first("cur", ignorenulls=True).alias("c"), F.first("prev", ignorenulls=True).alias("p")
-    ).select("bucket", "date", F.col("c.map").alias("cur"), F.col("p.map").alias("prev"), F.col("c.va").alias("cur_a"), F.col("c.vb").alias("cur_b"), F.col("p.va").alias("prev_a"), F.col("p.vb").alias("prev_b"))
+    ).select("bucket", "date", F.col("c.map").alias("cur"), F.col("p.map").alias("prev"), F.col("c.pos").alias("cur_pos"), F.col("p.pos").alias("prev_pos"), F.col("c.va").alias("cur_a"), F.col("c.vb").alias("cur_b"), F.col("p.va").alias("prev_a"), F.col("p.vb").alias("prev_b"))
     # a container's vectors take up to a megabyte: few of them to a partition, so that Arrow batches stay small
     pairs = pairs.repartition(size["n"] // 64 + 1, "bucket", "date")
     found = pairs.mapInArrow(_compare, "bucket bigint, date date, bit bigint, change_type string")
