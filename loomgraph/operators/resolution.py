@@ -98,6 +98,60 @@ def blocked_clusters(verdicts: DataFrame) -> DataFrame:
     return calm.unionByName(both.groupBy("component").applyInPandas(replay, "ref string, cluster string"))
 
 
+def clusters_of(members: DataFrame) -> DataFrame:
+    """(cluster, n, least_ref) of members (ref, cluster)."""
+    return members.groupBy("cluster").agg(F.count(F.lit(1)).alias("n"), F.min("ref").alias("least_ref"))
+
+
+def assign_ids(members: DataFrame, known: DataFrame, survivors: DataFrame | None = None, strength: DataFrame | None = None, prefix: str = "ent_", max_rounds: int = 1000) -> DataFrame:
+    """(ref, canonical_id, previous_id, is_new) of each member.
+
+    members (ref, cluster), known (ref, canonical_id, assigned_at; ref unique).
+    Clusters come in the order of their oldest assignment, then of their least
+    reference; each takes the first of its members' ids that no earlier one took:
+    ids a reviewer named (survivors: canonical_id) first, then by oldest
+    assignment, greatest strength (ref, strength), the id itself. Without one an
+    id is made from the least reference. previous_id: what a member had before,
+    if another. Rounds of proposals: a cluster proposes its best id not yet lost,
+    an id keeps the earliest cluster; that ends where the ordered loop would.
+    """
+    known = cut(known)
+    stated = members.join(known, "ref")
+    if strength is not None:
+        stated = stated.join(strength, "ref", "left")
+    else:
+        stated = stated.withColumn("strength", F.lit(0))
+    options = stated.groupBy("cluster", "canonical_id").agg(F.min("assigned_at").alias("at"), F.max(F.coalesce("strength", F.lit(0))).alias("s"))
+    named = (survivors.select("canonical_id").distinct() if survivors is not None else known.select("canonical_id").limit(0)).withColumn("named", F.lit(0))
+    options = options.join(named, "canonical_id", "left").withColumn("named", F.coalesce("named", F.lit(1)))
+    order = members.join(known.select("ref", "assigned_at"), "ref", "left").groupBy("cluster").agg(F.min(F.struct(F.col("assigned_at").isNull().alias("late"), "assigned_at")).alias("a"), F.min("ref").alias("least"))
+    turn = order.select("cluster", "least", F.struct("a", "least").alias("turn"))
+    options = cut(options.join(turn.select("cluster", "turn"), "cluster").select("cluster", "canonical_id", "turn", F.struct("named", "at", (-F.col("s")).alias("s"), "canonical_id").alias("wish")))
+    lost = options.select("cluster", "canonical_id").limit(0)
+    for _ in range(max_rounds):
+        left = options.join(lost, ["cluster", "canonical_id"], "left_anti")
+        asks = left.groupBy("cluster").agg(F.min("wish").alias("w"), F.first("turn").alias("turn")).select("cluster", "turn", F.col("w.canonical_id").alias("canonical_id"))
+        asks = cut(asks)
+        holds = asks.groupBy("canonical_id").agg(F.min(F.struct("turn", "cluster")).alias("h")).select("canonical_id", F.col("h.cluster").alias("cluster"))
+        refused = asks.select("cluster", "canonical_id").join(holds, ["canonical_id", "cluster"], "left_anti").select("cluster", "canonical_id")
+        lost_now = cut(lost.unionByName(refused))
+        if refused.isEmpty():
+            break
+        lost = lost_now
+    else:
+        raise RuntimeError("no fixpoint within max_rounds")
+    kept = asks.select("cluster", F.col("canonical_id").alias("held"))
+    ids = turn.join(kept, "cluster", "left").select("cluster", F.coalesce("held", F.concat(F.lit(prefix), F.substring(F.sha1("least"), 1, 10))).alias("canonical_id"), F.col("held").isNull().alias("is_new"))
+    j = members.join(ids, "cluster").join(known.select("ref", F.col("canonical_id").alias("before")), "ref", "left")
+    return j.select("ref", "canonical_id", F.when(F.col("before") != F.col("canonical_id"), F.col("before")).alias("previous_id"), "is_new")
+
+
+def anchored_only(members: DataFrame, anchors: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Members of clusters with at least one anchored reference (anchors: ref), and the others, which are mentions and lose their ids."""
+    keep = members.join(anchors.select("ref").distinct(), "ref", "left_semi").select("cluster").distinct()
+    return members.join(keep, "cluster", "left_semi"), members.join(keep, "cluster", "left_anti")
+
+
 def stable_ids(clusters: DataFrame, known: DataFrame) -> DataFrame:
     """(ref, canonical_id, is_new): a cluster keeps the oldest known id of its members.
 

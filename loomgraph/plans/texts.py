@@ -78,13 +78,6 @@ def search_score(spark, d):
     return s.select("canonical_id", F.round(100 * (F.col("a") + F.col("b")) / 2 * F.col("w") * 1000).cast("bigint").alias("score"))
 
 
-@query()
-def search_fuzzy(spark, d):
-    """Best hits of a misspelled query over person names."""
-    n = _names(spark, d).select("canonical_id", "canonical_name", text.search_score("bebodor noemi", F.col("canonical_name")).alias("score"))
-    return n.filter("score > 0").orderBy(F.desc("score"), "canonical_id").limit(25)
-
-
 _HOST = r"nullif(lower(regexp_extract({0}, '^[a-zA-Z]+://([^/?#:]+)', 1)), '')"
 _PATH = r"regexp_replace(regexp_extract(regexp_replace(trim(u), '#.*$', ''), '^[a-zA-Z]+://[^/?]+([^?]*)', 1), '/{2,}', '/', 'g')"
 _URL = f"""'https://' || {_HOST.format('u')} || CASE WHEN length({_PATH}) <= 1 THEN '/' ELSE regexp_replace({_PATH}, '/+$', '') END || CASE WHEN q = '' THEN '' ELSE '?' || q END"""

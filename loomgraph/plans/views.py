@@ -23,65 +23,6 @@ def _relations(spark, d, *types):
     return (r.filter(F.col("type").isin(*types)) if types else r).distinct()
 
 
-@query(f"""WITH {_REL}, {_MEM}, co AS (SELECT a.person, count(DISTINCT b.person) AS n FROM m a JOIN m b ON a.project = b.project AND a.person <> b.person GROUP BY 1)
-  SELECT p.canonical_id, count(DISTINCT CASE WHEN type IN ('AFFILIATED_WITH','MEMBER_OF') THEN target_id END) AS units, count(DISTINCT CASE WHEN type = 'PRINCIPAL_INVESTIGATOR_OF' THEN target_id END) AS led,
-  count(DISTINCT CASE WHEN type = 'PARTICIPATES_IN' THEN target_id END) AS participated, coalesce(any_value(co.n), 0) AS co_participants
-  FROM (SELECT DISTINCT canonical_id FROM person) p LEFT JOIN r ON r.source_id = p.canonical_id LEFT JOIN co ON co.person = p.canonical_id GROUP BY 1""")
-def person_profile(spark, d):
-    p = read_table(spark, d, "person", "canonical_id").distinct()
-    r = _relations(spark, d)
-    n = lambda *types: F.countDistinct(F.when(F.col("type").isin(*types), F.col("target_id")))
-    per = r.groupBy(F.col("source_id").alias("canonical_id")).agg(n("AFFILIATED_WITH", "MEMBER_OF").alias("units"), n("PRINCIPAL_INVESTIGATOR_OF").alias("led"), n("PARTICIPATES_IN").alias("participated"))
-    t = G.ties(membership(spark, d))
-    co = t.select(F.explode(F.array("a", "b")).alias("canonical_id")).groupBy("canonical_id").agg(F.count(F.lit(1)).alias("co_participants"))
-    return p.join(per, "canonical_id", "left").join(co, "canonical_id", "left").fillna(0)
-
-
-@query(f"""WITH {_REL} SELECT p.canonical_id, p.title, p.y AS start_year, count(DISTINCT CASE WHEN type = 'PRINCIPAL_INVESTIGATOR_OF' THEN source_id END) AS leads, count(DISTINCT source_id) AS people
-  FROM (SELECT canonical_id, max(title) AS title, max(CAST(substr("start", 1, 4) AS INT)) AS y FROM project GROUP BY 1) p LEFT JOIN (SELECT * FROM r WHERE type IN ('PARTICIPATES_IN','PRINCIPAL_INVESTIGATOR_OF')) r ON r.target_id = p.canonical_id GROUP BY ALL""")
-def project_profile(spark, d):
-    p = read_table(spark, d, "project", "canonical_id", "title", "start").groupBy("canonical_id").agg(F.max("title").alias("title"), F.max(F.substring("start", 1, 4).cast("int")).alias("start_year"))
-    r = _relations(spark, d, "PARTICIPATES_IN", "PRINCIPAL_INVESTIGATOR_OF").groupBy(F.col("target_id").alias("canonical_id")).agg(
-        F.countDistinct(F.when(F.col("type") == "PRINCIPAL_INVESTIGATOR_OF", F.col("source_id"))).alias("leads"), F.countDistinct("source_id").alias("people"))
-    return p.join(r, "canonical_id", "left").fillna(0, ["leads", "people"])
-
-
-@query(f"""WITH {_REL} SELECT u.canonical_id, u.label, count(DISTINCT CASE WHEN type = 'AFFILIATED_WITH' THEN source_id END) AS affiliated, count(DISTINCT CASE WHEN type = 'MEMBER_OF' THEN source_id END) AS members,
-  count(DISTINCT CASE WHEN type = 'HOSTED_BY' THEN source_id END) AS hosted FROM org_units u LEFT JOIN r ON r.target_id = u.canonical_id GROUP BY ALL""")
-def unit_profile(spark, d):
-    u = read_table(spark, d, "org_units", "canonical_id", "label").distinct()
-    n = lambda t: F.countDistinct(F.when(F.col("type") == t, F.col("source_id")))
-    r = _relations(spark, d).groupBy(F.col("target_id").alias("canonical_id")).agg(n("AFFILIATED_WITH").alias("affiliated"), n("MEMBER_OF").alias("members"), n("HOSTED_BY").alias("hosted"))
-    return u.join(r, "canonical_id", "left").fillna(0, ["affiliated", "members", "hosted"])
-
-
-@query("""SELECT (SELECT count(DISTINCT canonical_id) FROM person) AS persons, (SELECT count(DISTINCT canonical_id) FROM project) AS projects, (SELECT count(*) FROM org_units WHERE entity_type = 'Institution') AS institutions,
-  (SELECT count(DISTINCT relation_id) FROM relations) AS relations, (SELECT count(DISTINCT claim_id) FROM claims) AS claims, (SELECT count(DISTINCT document_id) FROM documents) AS documents""")
-def overview(spark, d):
-    n = lambda t, c, name, where="true": read_table(spark, d, t).filter(where).agg(F.countDistinct(c).alias(name))
-    out = n("person", "canonical_id", "persons")
-    for part in (n("project", "canonical_id", "projects"), n("org_units", "canonical_id", "institutions", "entity_type = 'Institution'"), n("relations", "relation_id", "relations"), n("claims", "claim_id", "claims"), n("documents", "document_id", "documents")):
-        out = out.crossJoin(part)  # single rows
-    return out
-
-
-@query(f"""WITH {_REL} SELECT DISTINCT p.canonical_id, p.canonical_name FROM person p WHERE lower(strip_accents(p.canonical_name)) LIKE '%an%' AND p.canonical_id IN (SELECT source_id FROM r WHERE type = 'AFFILIATED_WITH' AND target_id IN
-  (SELECT canonical_id FROM org_units WHERE unit_type IN ('institute','department') UNION SELECT r2.source_id FROM r r2 JOIN org_units o ON o.canonical_id = r2.target_id WHERE r2.type = 'PART_OF' AND o.unit_type IN ('institute','department')))""")
-def directory_people(spark, d):
-    p = read_table(spark, d, "person", "canonical_id", "canonical_name").distinct().filter(F.lower(text.strip_accents(F.col("canonical_name"))).contains("an"))
-    top = read_table(spark, d, "org_units", "canonical_id", "unit_type").filter("unit_type IN ('institute', 'department')").select(F.col("canonical_id").alias("target_id"))
-    below = _relations(spark, d, "PART_OF").join(top, "target_id", "left_semi").select(F.col("source_id").alias("target_id"))
-    at = _relations(spark, d, "AFFILIATED_WITH").join(top.unionByName(below), "target_id", "left_semi").select(F.col("source_id").alias("canonical_id"))
-    return p.join(at, "canonical_id", "left_semi")
-
-
-@query(f"""WITH {_MEM}, z AS (SELECT project, count(*) AS n FROM m GROUP BY 1) SELECT canonical_id, status, n FROM (SELECT DISTINCT canonical_id, coalesce(status_label, 'none') AS status FROM project) p JOIN z ON z.project = p.canonical_id WHERE n >= 2 AND status IN ('none', 'futó')""")
-def directory_projects(spark, d):
-    p = read_table(spark, d, "project", "canonical_id", "status_label").select("canonical_id", F.coalesce("status_label", F.lit("none")).alias("status")).distinct().filter("status IN ('none', 'futó')")
-    z = membership(spark, d).groupBy(F.col("project").alias("canonical_id")).agg(F.count(F.lit(1)).alias("n")).filter("n >= 2")
-    return p.join(z, "canonical_id")
-
-
 @query(f"WITH {_REL} SELECT canonical_id FROM org_units WHERE len(source_refs) > 0 AND canonical_id IN (SELECT target_id FROM r WHERE type IN ('AFFILIATED_WITH','MEMBER_OF','HOSTED_BY'))")
 def covered_units(spark, d):
     u = read_table(spark, d, "org_units", "canonical_id", "source_refs").filter("size(source_refs) > 0").select("canonical_id")

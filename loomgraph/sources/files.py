@@ -1,4 +1,4 @@
-"""Line-delimited JSON, staged folders, releases and keyed tables."""
+"""Line-delimited JSON, entity folders, keyed tables and logs."""
 
 from __future__ import annotations
 
@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from loomgraph.operators.windows import best_row
+
 
 def _hadoop(spark: SparkSession, path: str):
     p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
@@ -27,15 +29,6 @@ def read_jsonl(spark: SparkSession, path: str, schema: T.StructType, strict: boo
     return spark.read.schema(schema).option("mode", "FAILFAST" if strict else "PERMISSIVE").json(path)
 
 
-def read_staged(spark: SparkSession, folder: str, file: str, schema: T.StructType, sources: list[str] | None = None) -> DataFrame:
-    """The same file of every ``source_id=...`` folder, with the source as a column;
-    named sources prune the folders before anything is read."""
-    if not exists(spark, folder):
-        return spark.createDataFrame([], T.StructType([*schema.fields, T.StructField("source_id", T.StringType())]))
-    df = spark.read.schema(T.StructType([*schema.fields, T.StructField("source_id", T.StringType())])).option("basePath", folder).json(f"{folder}/source_id=*/{file}")
-    return df.filter(F.col("source_id").isin(*sources)) if sources is not None else df
-
-
 def read_entities(spark: SparkSession, folder: str, schema: T.StructType) -> DataFrame:
     """One file for each entity type; the file's stem becomes ``entity_type``."""
     df = spark.read.schema(schema).json(f"{folder}/*.jsonl")
@@ -54,24 +47,12 @@ def write_jsonl(df: DataFrame, path: str, order: list[str]) -> None:
     df.orderBy(*order).write.mode("overwrite").json(path)
 
 
-def write_release(tables: dict[str, DataFrame], folder: str, keys: dict[str, list[str]]) -> dict[str, int]:
-    """A release: each table sorted by its key within files; returns the manifest of row counts."""
-    manifest = {}
-    for name, df in tables.items():
-        df.repartitionByRange(*keys[name]).sortWithinPartitions(*keys[name]).write.mode("overwrite").parquet(f"{folder}/{name}")
-        manifest[name] = df.sparkSession.read.parquet(f"{folder}/{name}").count()
-    return manifest
-
-
-def verify_release(spark: SparkSession, folder: str, manifest: dict[str, int]) -> list[str]:
-    """Names of tables that are missing or whose row count differs from the manifest."""
-    return [n for n, want in manifest.items() if not exists(spark, f"{folder}/{n}") or spark.read.parquet(f"{folder}/{n}").count() != want]
-
-
-def merge(old: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
+def merge(old: DataFrame, new: DataFrame, keys: list[str], order: list[str] | None = None) -> DataFrame:
     """Keyed upsert: rows of ``new`` replace those of ``old`` with the same key, and
-    running it twice changes nothing. Of several new rows of a key one is kept."""
-    fresh = new.dropDuplicates(keys)
+    running it twice changes nothing. Of several new rows of a key the one with the
+    greatest ``order`` columns stands (then the greatest hash of the row, so a re-run picks the same)."""
+    row = F.xxhash64(F.to_json(F.struct(*[F.col(f"`{c}`") for c in new.columns])))
+    fresh = best_row(new, keys, *[F.desc_nulls_last(c) for c in order or []], row.desc())
     return old.join(fresh.select(*keys), keys, "left_anti").unionByName(fresh.select(*old.columns))
 
 

@@ -17,27 +17,27 @@ class _Elements(HTMLParser):
     def __init__(self) -> None:
         super().__init__()
         self.open: list[list] = []
+        self.texts: list[str] = []
         self.rows: list[tuple[str, str | None, str, int]] = []
         self.muted = 0
 
     def handle_starttag(self, tag, attrs):
         self.muted += tag in ("script", "style")
         if tag in BLOCKS:
-            self.open.append([tag, dict(attrs).get("href"), [], len(self.rows) + len(self.open)])
+            self.open.append([tag, dict(attrs).get("href"), len(self.texts), len(self.rows) + len(self.open)])
 
     def handle_endtag(self, tag):
         self.muted -= tag in ("script", "style") and self.muted > 0
         for k in range(len(self.open) - 1, -1, -1):
             if self.open[k][0] == tag:
-                for name, href, parts, at in reversed(self.open[k:]):
-                    self.rows.append((name, href, " ".join("".join(parts).split()), at))
+                for name, href, begun, at in reversed(self.open[k:]):
+                    self.rows.append((name, href, " ".join("".join(self.texts[begun:]).split()), at))
                 del self.open[k:]
                 break
 
     def handle_data(self, data):
-        if not self.muted:
-            for entry in self.open:
-                entry[2].append(data)
+        if not self.muted and self.open:
+            self.texts.append(data)  # once; an element's text is the stretch since its start
 
 
 def page_elements(pages: DataFrame, key: str, html: str) -> DataFrame:
