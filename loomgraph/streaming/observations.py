@@ -66,7 +66,7 @@ def read_upserted(spark: SparkSession, path: str, schema: T.StructType) -> DataF
 
 def read_marker(spark: SparkSession, path: str) -> dict:
     """The state that the marker names; a marker whose rename was cut short counts."""
-    for name in ("_current", "_next"):
+    for name in ("current.json", "next.json"):
         if exists(spark, f"{path}/{name}"):
             return json.loads("".join(r[0] for r in spark.read.text(f"{path}/{name}").collect()))
     fs, p = _hadoop(spark, path)
@@ -77,8 +77,8 @@ def read_marker(spark: SparkSession, path: str) -> dict:
 
 
 def write_marker(spark: SparkSession, path: str, state: dict) -> None:
-    fs, new = _hadoop(spark, f"{path}/_next")
-    _, current = _hadoop(spark, f"{path}/_current")
+    fs, new = _hadoop(spark, f"{path}/next.json")
+    _, current = _hadoop(spark, f"{path}/current.json")
     out = fs.create(new, True)
     out.write(bytearray(json.dumps(state, sort_keys=True).encode()))
     out.close()
