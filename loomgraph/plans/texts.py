@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loomgraph.functions import dates, text, urls
+from loomgraph.operators.mentions import block_join
 from loomgraph.plans.registry import Registry
 from loomgraph.sources.tables import read_table
 
@@ -113,9 +114,10 @@ def partial_dates(spark, d):
   FROM p a JOIN p b ON a.title = b.title AND a.canonical_id < b.canonical_id""")
 def period_conflict(spark, d):
     p = read_table(spark, d, "project", "canonical_id", "title", "start", "end").filter("title IS NOT NULL").distinct()
-    pairs = p.alias("a").join(p.alias("b"), (F.col("a.title") == F.col("b.title")) & (F.col("a.canonical_id") < F.col("b.canonical_id")))
-    c = dates.periods_conflict(F.col("a.start"), F.col("a.end"), F.col("b.start"), F.col("b.end"))
-    return pairs.select(F.col("a.canonical_id").alias("id_a"), F.col("b.canonical_id").alias("id_b"), c.alias("conflict"))
+    of = lambda s: p.select("title", F.col("canonical_id").alias(f"id_{s}"), F.col("start").alias(f"start_{s}"), F.col("end").alias(f"end_{s}"))
+    pairs = block_join(of("a"), of("b"), ["title"]).filter("id_a < id_b")
+    c = dates.periods_conflict(F.col("start_a"), F.col("end_a"), F.col("start_b"), F.col("end_b"))
+    return pairs.select("id_a", "id_b", c.alias("conflict"))
 
 
 @query("SELECT CAST(json_extract_string(props, '$.k') AS BIGINT) AS k, count(*) AS n, min(event_id) AS first_event FROM events GROUP BY 1")
@@ -139,8 +141,8 @@ def taxonomy_match(spark, d):
 def prefix_join(spark, d):
     """Titles that go on where another ends: an equi-join on the first 20 characters, then the exact test."""
     k = _titles(spark, d).select(text.title_fold(F.col("title")).alias("k")).distinct().filter(F.length("k") >= 20).withColumn("b", F.substring("k", 1, 20))
-    pairs = k.alias("a").join(k.alias("c"), "b").filter(F.startswith(F.col("c.k"), F.concat(F.col("a.k"), F.lit(" "))))
-    return pairs.select(F.col("a.k").alias("short_key"), F.col("c.k").alias("long_key"))
+    pairs = block_join(k.withColumnRenamed("k", "short_key"), k.withColumnRenamed("k", "long_key"), ["b"])
+    return pairs.filter(F.startswith("long_key", F.concat("short_key", F.lit(" ")))).select("short_key", "long_key")
 
 
 @query("""SELECT canonical_id, CASE WHEN orcid IS NOT NULL THEN 'orcid:' || orcid WHEN mtmt_id IS NOT NULL THEN 'mtmt:' || mtmt_id ELSE 'none' END AS hard_id, count(*) AS n FROM person GROUP BY ALL""")
