@@ -172,7 +172,7 @@ def key_rows(recs: DataFrame, rule: str) -> DataFrame:
         seen = lambda w: F.arrays_overlap(F.array_remove(f, w), rare)
         one = F.transform(f, lambda w: row(join(F.array_remove(f, w)), False, F.when(~seen(w), w)))
         letters = lambda w: F.transform(F.sequence(F.lit(0), F.length(w)), lambda k: F.when(k == 0, w).otherwise(F.concat(F.substr(w, F.lit(1), k - 1), F.substr(w, k + 1))))
-        typed = F.flatten(F.transform(F.filter(f, lambda w: (F.length(w) > 5) & ~seen(w)), lambda w: F.transform(F.array_distinct(letters(w)), lambda v: row(F.concat(join(F.array_remove(f, w)), F.lit(" #"), v), False))))
+        typed = F.flatten(F.transform(F.filter(f, lambda w: (F.length(w) > 3) & ~seen(w)), lambda w: F.transform(F.array_distinct(letters(w)), lambda v: row(F.concat(join(F.array_remove(f, w)), F.lit(" #"), v), False))))
         keys = F.concat(full, F.when(F.size(f) > 2, F.concat(one, typed)).otherwise(none))
     else:
         keys = full

@@ -22,10 +22,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from loomgraph.llm.bpe import token_counts
-from loomgraph.session import cut
+from loomgraph.session import cut, cut_measured
 
-#: Seeded order: hash buckets of a pattern, each summed before texts are placed within it.
-BUCKET_BITS = 12
+#: Seeded order: hash buckets of a pattern, each summed before texts are placed within it. Buckets are
+#: prefixes of the hash that orders the tape, so their number does not change the result; it grows with
+#: the texts so that a bucket holds about BUCKET_TEXTS of them.
+BUCKET_BITS, BUCKET_TEXTS = 12, 65_536
 
 
 def min_cost_flow(masses: dict[tuple[str, ...], int], quotas: dict[str, int], caps: dict[str, int]) -> dict[tuple[tuple[str, ...], str], int]:
@@ -104,10 +106,12 @@ class Mix:
         keyed = listed.select("doc_id", "source", F.sha2("text", 256).alias("content"), "text")
         self.docs = cut(token_counts(keyed, ["doc_id", "source", "content"], "text", path))
         by_source = self.docs.groupBy("content", "source").agg(F.min("doc_id").alias("doc_id"), F.max("n_tokens").alias("n_tokens"))
-        self.texts = cut(
-            by_source.groupBy("content").agg(F.array_sort(F.collect_set("source")).alias("pattern"), F.max("n_tokens").alias("n_tokens"))
-            .withColumn("h", F.xxhash64("content", F.lit(seed))).withColumn("bucket", F.shiftrightunsigned("h", 64 - BUCKET_BITS))
+        texts, size = cut_measured(
+            by_source.groupBy("content").agg(F.array_sort(F.collect_set("source")).alias("pattern"), F.max("n_tokens").alias("n_tokens")).withColumn("h", F.xxhash64("content", F.lit(seed))),
+            n=F.count(F.lit(1)),
         )
+        bits = max(BUCKET_BITS, (size["n"] // BUCKET_TEXTS).bit_length())
+        self.texts = texts.withColumn("bucket", F.shiftrightunsigned("h", 64 - bits))
         self.by_source = by_source.select("content", "source", "doc_id")
         self.masses = {tuple(r["pattern"]): r["m"] for r in self.texts.groupBy("pattern").agg(F.sum("n_tokens").alias("m")).collect()}  # <= 2**sources rows
         self.available = {s: sum(m for p, m in self.masses.items() if s in p) for s in self.share}

@@ -170,6 +170,47 @@ def test_projects(spark):
     assert all(0 < r.confidence < 1 for r in out)
 
 
+def test_projects_of_common_words(spark):
+    """A title of a common subject meets the one title that adds a place, and none where several places are added."""
+    subject = lambda k: f"Választói magatartás és munkanélküliek{k}"
+    row = lambda i, t, g=None, s="2012": (i, t, None, s, g)
+    rows = [row("a1", subject("")), row("a2", subject(" – Drulmukút és környéke")), row("b1", subject(""), s="2001"), row("b2", subject(" – Egyfalva"), s="2001"), row("b3", subject(" – Kétfalva"), s="2001")]
+    rows += [row("c1", "Lakhatási szegénység Drulmukút térségében", s="1999"), row("c2", "Lakhatási szegénység Drulmkút térségében", s="1999")]
+    df = spark.createDataFrame(rows, "canonical_id string, title string, alternate_titles array<string>, start string, grant_id string")
+    got = {(r.id_a, r.id_b) for r in linkage.match_projects(df).collect()}
+    assert got == {("a1", "a2"), ("c1", "c2")}
+
+
+def test_comparison_goes_both_ways(spark):
+    few, more = [["child", "poverty"]], [["alsofalva", "child", "poverty"]]
+    df = spark.createDataFrame([(few, more), (more, few)], "a array<array<string>>, b array<array<string>>")
+    assert [r.v for r in df.select(linkage._alike(F.col("a"), F.col("b")).alias("v")).collect()] == [True, True]
+
+
+def test_key_search_against_all_pairs(spark):
+    """Candidates of the grantless rules hold every pair that comparison word by word accepts within one year, for titles with one typing error or one word less."""
+    rng = random.Random(11)
+    word = lambda: "".join(rng.choice("abcdefghiklmnoprstuvz") for _ in range(rng.randrange(6, 10)))
+    common = [word() for _ in range(6)]
+    forms = []
+    for _ in range(60):
+        w = rng.sample(common, 3) + [word()]
+        forms.append(w)
+        k = rng.randrange(4)
+        forms.append(w[:k] + [w[k][:2] + w[k][3:]] + w[k + 1 :] if rng.random() < 0.6 else w[: k % 3] + w[k % 3 + 1 :])
+    rows = [(f"r{i:03d}", " ".join(f), None, "2010", None) for i, f in enumerate(forms)]
+    df = spark.createDataFrame(rows, "canonical_id string, title string, alternate_titles array<string>, start string, grant_id string")
+    recs, members = linkage.classes(linkage.with_concepts(linkage.records(df)))
+    recs = recs.withColumn("open", F.lit(True)).withColumn("asked", F.lit(False)).cache()
+    all_pairs = recs.alias("a").join(recs.alias("b"), F.col("a.n") < F.col("b.n")).filter(linkage._alike(F.col("a.forms"), F.col("b.forms")))
+    want = {(r[0], r[1]) for r in all_pairs.select("a.n", "b.n").collect()}
+    planted = {tuple(sorted((2 * i, 2 * i + 1))) for i in range(60)}
+    found = {(r.a.n, r.b.n) for r in linkage.rule_pairs(recs, "title_part_start").select("a", "b").collect()}
+    number = {int(r.id[1:]): r.n for r in members.collect()}
+    planted = {tuple(sorted((number[a], number[b]))) for a, b in planted} & want
+    assert len(planted) > 30 and len(planted & found) >= 0.97 * len(planted)
+
+
 def test_projects_empty(spark):
     assert linkage.match_projects(spark.createDataFrame([], "canonical_id string, title string, alternate_titles array<string>, start string, grant_id string")).count() == 0
 
