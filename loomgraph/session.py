@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import tempfile
+import time
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
@@ -44,8 +45,15 @@ def cut(df: DataFrame) -> DataFrame:
 
 
 def cut_measured(df: DataFrame, **figures: Column) -> tuple[DataFrame, dict]:
-    """``cut`` that also returns aggregates of the rows, read back from the cut."""
-    out = cut(df)
+    """``cut`` that also returns aggregates of the rows, observed while they are written,
+    so that no second job reads them; read back from the cut if the figures did not arrive."""
+    watch = Observation()
+    out = cut(df.observe(watch, *[c.alias(k) for k, c in figures.items()]))
+    for _ in range(20):
+        seen = watch._jo.getOrEmpty()
+        if seen.size() == len(figures):
+            return out, {k: seen.get(k).get() for k in figures}
+        time.sleep(0.05)
     return out, out.agg(*[c.alias(k) for k, c in figures.items()]).first().asDict()
 
 
