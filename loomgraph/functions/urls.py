@@ -15,14 +15,18 @@ def host(c: Column) -> Column:
 
 
 def join_url(base: Column, url: Column) -> Column:
-    """An address as a page at ``base`` writes it, made absolute."""
+    """An address as a page at ``base`` writes it, made absolute; up to eight steps upward are resolved."""
     site = F.regexp_extract(base, r"^([a-zA-Z]+://[^/?#]+)", 1)
     folder = F.concat(site, F.regexp_replace(F.regexp_extract(base, r"^[a-zA-Z]+://[^/?#]+([^?#]*)", 1), "[^/]*$", ""))
     folder = F.when(F.endswith(folder, F.lit("/")), folder).otherwise(F.concat(folder, F.lit("/")))
-    return (
+    joined = (
         F.when(url.rlike("^[a-zA-Z][a-zA-Z+.-]*:"), url).when(F.startswith(url, F.lit("//")), F.concat(F.regexp_extract(base, "^([a-zA-Z]+:)", 1), url))
         .when(F.startswith(url, F.lit("/")), F.concat(site, url)).when(url.rlike("^[#?]"), F.concat(F.regexp_replace(base, "[#?].*$", ""), url)).otherwise(F.concat(folder, url))
     )
+    joined = F.regexp_replace(joined, r"/(?:\./)+", "/")
+    for _ in range(8):
+        joined = F.regexp_replace(joined, r"(?<![:/])/(?!\.\./)[^/?#]+/\.\./", "/")
+    return F.regexp_replace(joined, r"^([a-zA-Z]+://[^/]+)(?:/\.\.)+/", "$1/")
 
 
 def canonical_url(c: Column, aliases: Column | None = None) -> Column:

@@ -86,7 +86,8 @@ def test_text_and_urls(spark):
     assert one(spark, "Telefon: (1) 224-6700, Fax 1/224-6700; 2019/123 és (2) 400-422", text.scrub) == "Telefon: XXX, Fax XXX; 2019/123 és (2) 400-422"
     assert one(spark, "HTTP://www.Site.hu//a//b/?utm_source=x&b=2&a=1#f", urls.canonical_url) == "https://www.site.hu/a/b?a=1&b=2"
     assert one(spark, "http://m.site.hu", lambda c: urls.canonical_url(c, F.create_map(F.lit("m.site.hu"), F.lit("site.hu")))) == "https://site.hu/"
-    assert one(spark, "../x?y=1", lambda c: urls.join_url(F.lit("https://a.hu/b/c.html"), c)) == "https://a.hu/b/../x?y=1"
+    assert one(spark, "../x?y=1", lambda c: urls.join_url(F.lit("https://a.hu/b/c.html"), c)) == "https://a.hu/x?y=1"
+    assert one(spark, "../../x", lambda c: urls.join_url(F.lit("https://a.hu/b/c"), c)) == "https://a.hu/x" and one(spark, "./q", lambda c: urls.join_url(F.lit("https://a.hu"), c)) == "https://a.hu/q"
     assert one(spark, "no url", urls.canonical_url) is None
     score = lambda n: one(spark, n, lambda c: text.search_score("kovacs anna", c))
     assert score("Kovács Anna") == 1.0 and score("Szabó Béla") == 0.0 and 0 < score("Anna Kovácsné") < 1
