@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from loomgraph.plans import canon, discovery, facts, graphs, identity, networks, pipeline, portal, quality, strings, structure, texts, upkeep, views
+from loomgraph.plans import canon, discovery, facts, graphs, identity, networks, pipeline, portal, quality, reports, strings, structure, texts, upkeep, views
 
-MODULES = [graphs, networks, facts, texts, strings, identity, canon, structure, discovery, quality, pipeline, portal, views, upkeep]
+MODULES = [graphs, networks, facts, texts, strings, identity, canon, structure, discovery, quality, pipeline, portal, reports, views, upkeep]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
