@@ -1,7 +1,7 @@
 """Variant spellings of names of people and organisations.
 
 Spellings that fold to the same word set (case, spaces, accents, order, commas,
-academic titles) form a class. Classes become candidates by MinHash banding
+academic titles) form a class. Two classes are candidates if they share a MinHash band
 over the padded q-grams of their words; the number of bands follows from the
 collision curve for a wished recall at a given similarity. Candidates are
 verified by Monge-Elkan similarity: the mean, over the words of the shorter
@@ -9,14 +9,22 @@ name, of the best likeness to a word of the longer one. Two words that are both
 well attested, that is seen beside several different words, and neither far
 rarer than the other, are never typing errors of each other. Verified classes are clustered as stars: heavy classes
 become centres, and lighter ones join the likest centre next to them.
+
+Bands of common given names hold most pairs of names, nearly all of which fail
+verification; their number grows with the square of the names. So the pairs are
+searched from the other end: the like words of the vocabulary first
+(``like_words``), then the names that meet when words are replaced by like ones
+(``meeting_rows``). Every pair that verification accepts meets so; the pairs
+that it accepts are then tested for a common band.
 """
 
 from __future__ import annotations
 
 import math
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
+from itertools import combinations, product
 from unicodedata import combining, normalize
 
 import numpy as np
@@ -34,8 +42,14 @@ SIMILARITY, RECALL = 0.5, 0.99
 PARTNERS = 3
 #: and beside at least this share of the other word's partners.
 RELATIVE = 0.08
+#: Names meet in their so many rarest words, long names in one.
+MEET = 3
+#: A word with more like words is met by them, however rare it is.
+HUB = 64
 #: A bucket with more rows is split.
 BUCKET_ROWS = 20_000
+#: Least likeness of two words that stand for each other.
+LIKE = 0.8
 #: Least Monge-Elkan similarity of two spellings of one name.
 ACCEPT = 0.85
 
@@ -107,39 +121,52 @@ def qgrams(key: str) -> set[str]:
     return out
 
 
+def signer(bands: int) -> Callable[[str], np.ndarray]:
+    """Function of a key: for each band of its MinHash signature the hash of band and signature."""
+    import xxhash
+
+    rng = np.random.default_rng(20)
+    a = rng.integers(1, 2**61, bands * ROWS, dtype=np.uint64) | np.uint64(1)
+    c = rng.integers(0, 2**63, bands * ROWS, dtype=np.uint64)
+    hashed = lru_cache(100_000)(lambda g: xxhash.xxh64_intdigest(g))
+    mix = rng.integers(1, 2**61, ROWS, dtype=np.uint64) | np.uint64(1)
+    turn = rng.integers(0, 2**63, bands, dtype=np.uint64)
+
+    def sign(key: str) -> np.ndarray:
+        grams = np.array([hashed(g) for g in qgrams(key)], dtype=np.uint64)
+        x = grams[:, None] * a[None, :] + c[None, :]
+        x ^= x >> np.uint64(31)
+        least = x.min(axis=0).reshape(bands, ROWS)
+        return (((least * mix).sum(axis=1) ^ turn) * np.uint64(0x9E3779B97F4A7C15)).view(np.int64)
+
+    return sign
+
+
 def band_rows(keys: DataFrame, bands: int) -> DataFrame:
-    """(h, k): a row for each band of a key's MinHash signature; h = hash of band and signature."""
+    """(h, k): a row for each band of a key's MinHash signature; h = hash of band and signature.
+    With ``collisions`` all pairs that share a band, which are too many for large tables."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import xxhash
-
-        rng = np.random.default_rng(20)
-        a = rng.integers(1, 2**61, bands * ROWS, dtype=np.uint64) | np.uint64(1)
-        c = rng.integers(0, 2**63, bands * ROWS, dtype=np.uint64)
-        hashed = lru_cache(100_000)(lambda g: xxhash.xxh64_intdigest(g))
-        mix = rng.integers(1, 2**61, ROWS, dtype=np.uint64) | np.uint64(1)
-        turn = rng.integers(0, 2**63, bands, dtype=np.uint64)
+        sign = signer(bands)
         for b in batches:
-            ids, hs = b.column(0).to_numpy(), []
-            for k in b.column(1).to_pylist():
-                grams = np.array([hashed(g) for g in qgrams(k)], dtype=np.uint64)
-                x = grams[:, None] * a[None, :] + c[None, :]
-                x ^= x >> np.uint64(31)
-                least = x.min(axis=0).reshape(bands, ROWS)
-                hs.append((((least * mix).sum(axis=1) ^ turn) * np.uint64(0x9E3779B97F4A7C15)).view(np.int64))
+            ids, hs = b.column(0).to_numpy(), [sign(k) for k in b.column(1).to_pylist()]
             if hs:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(hs)), pa.array(np.repeat(ids, bands))], names=["h", "k"])
 
     return spread(keys.select("k", "key"), "k").mapInArrow(run, "h bigint, k bigint")
 
 
+def partners(keys: DataFrame) -> DataFrame:
+    """(w, n): the words that stand beside at least PARTNERS different words, and beside how many."""
+    words = F.filter(F.split("key", " "), lambda w: F.length(w) > 1)
+    pairs = keys.select(F.explode(words).alias("w"), words.alias("all")).select("w", F.explode("all").alias("o")).filter("w <> o").distinct()
+    return pairs.groupBy("w").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= PARTNERS)
+
+
 def attested(keys: DataFrame) -> DataFrame:
     """(key, known, counts): the words of each key that stand beside at least PARTNERS
     different words, and beside how many."""
-    words = F.filter(F.split("key", " "), lambda w: F.length(w) > 1)
-    pairs = keys.select(F.explode(words).alias("w"), words.alias("all")).select("w", F.explode("all").alias("o")).filter("w <> o").distinct()
-    many = pairs.groupBy("w").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= PARTNERS)
-    each = salted_join(keys.select("key", F.explode(F.split("key", " ")).alias("w")).distinct(), many, "w", "left")
+    each = salted_join(keys.select("key", F.explode(F.split("key", " ")).alias("w")).distinct(), partners(keys), "w", "left")
     met = F.collect_list(F.when(F.col("n").isNotNull(), F.struct("w", "n")))
     return each.groupBy("key").agg(met.alias("m")).select("key", F.col("m.w").alias("known"), F.col("m.n").alias("counts"))
 
@@ -221,7 +248,7 @@ def monge_elkan(a: str, b: str, known_a: dict[str, int], known_b: dict[str, int]
     left, right, total, weakest = {}, set(), 0.0, 1.0
     initial = False
     for score, i, j in scores:
-        if i in left or j in right or score < 0.8:
+        if i in left or j in right or score < LIKE:
             continue
         if len(y[j]) == 1 and len(y) > len(x):
             continue  # a middle initial stands for no word of the shorter name
@@ -244,7 +271,8 @@ def bare_words(key: Column) -> Column:
 
 
 def possible(x: Column, y: Column) -> Column:
-    """A bound that every verified pair meets, cheap enough for each candidate. x, y: bare_words of the two keys.
+    """A bound that every verified pair meets, for pairs that share a band; ``meeting_rows`` needs none.
+    x, y: bare_words of the two keys.
 
     Each word of the shorter name has one in the longer that ``likeness`` may accept: one
     that begins it or that it begins, one with the same first letter where either is short
@@ -268,33 +296,179 @@ def possible(x: Column, y: Column) -> Column:
     return few & F.when(F.size(x) == F.size(y), met(x, y) & met(y, x)).when(F.size(x) < F.size(y), met(x, y) & headed(y, x)).otherwise(met(y, x) & headed(x, y))
 
 
+def word_blocks(word: str) -> Iterator[tuple[str, int]]:
+    """(block, side) of a word. Any two words of which ``likeness`` can be above 0 share a block,
+    with both sides 0, or 1 for the first and 2 for the second."""
+    u, cut_short = word.rstrip("."), word[-1] == "."
+    if len(u) == 1:
+        yield f"i{u}", 1
+        return
+    yield f"i{u[0]}", 2
+    # edits and neighbour swaps: the words agree after as many deletions in each
+    for n in range((len(u) >= 3) + (len(u) >= 6) + 1):
+        yield from ((f"d{x}", 0) for x in {"".join(c) for c in combinations(u, len(u) - n)})
+    if "m" in u or "rn" in u:
+        yield f"m{u.replace('rn', 'm')}", 0
+    # one begins the other
+    if cut_short or len(u) >= 3:
+        yield f"p{u}", 1
+    yield from ((f"p{u[:n]}", 2) for n in range(2, len(u) + 1))
+    # letters of the other in order, from its first
+    if 3 <= len(u) <= 4 or (cut_short and len(u) == 2):
+        yield f"o{u[:3]}", 1
+    yield from ((f"o{u[0]}{x}", 2) for x in {*u[1:], *map("".join, combinations(u[1:], 2))})
+    for short, name in _everyday().get(u, ()):
+        yield f"n{short} {name}", 0
+
+
+@lru_cache(1)
+def _everyday() -> dict[str, list[tuple[str, str]]]:
+    out: dict[str, list[tuple[str, str]]] = {}
+    for pair in SHORT:
+        for w in pair:
+            out.setdefault(w, []).append(pair)
+    return out
+
+
+def like_words(words: DataFrame) -> DataFrame:
+    """(w, uw, uc): the words that w may be replaced by, and their counts; of two words that
+    ``likeness`` accepts, one is among those of the other: an initial before a HUB before the more frequent.
+
+    words (w, c, n), w unique: the keys that hold a word; its partners, null if not attested."""
+
+    def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import xxhash
+
+        for b in batches:
+            for at in range(0, b.num_rows, 500):
+                rows = [(xxhash.xxh64_intdigest(x), s, w) for w in b.column(0).slice(at, 500).to_pylist() for x, s in word_blocks(w)]
+                h = np.array([r[0] for r in rows], dtype=np.uint64).view(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(h), pa.array([r[1] for r in rows], pa.int8()), pa.array([r[2] for r in rows], pa.string())], names=["h", "s", "w"])
+
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            near = []
+            for v, w, n, m in zip(*(c.to_pylist() for c in b.columns)):
+                known = both_attested(v, w, {v: n or 0}, {w: m or 0})
+                near.append(max(likeness(v, w, known), likeness(w, v, known)) >= LIKE)
+            yield b.select(["v", "w"]).filter(pa.array(near, pa.bool_()))
+
+    rows = cut(spread(words.select("w"), "w").mapInArrow(blocks, "h bigint, s tinyint, w string"))
+    of = lambda side, names: rows.filter(side).select("h", F.col("w").alias(names))
+    # only words that share a block are ever beside each other
+    sides = of("s = 0", "v").join(of("s = 0", "w"), "h").filter("v < w").unionByName(of("s = 1", "v").join(of("s = 2", "w"), "h").filter("v <> w"))
+    met = sides.select(F.least("v", "w").alias("v"), F.greatest("v", "w").alias("w")).distinct()
+    first = words.select(F.col("w").alias("v"), F.col("n").alias("v_n"))
+    near = cut(met.join(first, "v").join(words.select("w", F.col("n").alias("w_n")), "w").select("v", "w", "v_n", "w_n").mapInArrow(score, "v string, w string"))
+    ends = near.unionByName(near.select(F.col("w").alias("v"), F.col("v").alias("w")))
+    hubs = ends.groupBy("v").agg(F.count(F.lit(1)).alias("d")).join(words.select(F.col("w").alias("v"), "c"), "v")
+    rank = hubs.select("v", "c", F.struct(F.length("v") == 1, F.col("d") > HUB, F.col("c"), F.col("v")).alias("rank"))
+    up = near.join(rank, "v").join(rank.select(F.col("v").alias("w"), F.col("c").alias("w_c"), F.col("rank").alias("w_rank")), "w")
+    low, high = F.struct("v", "c"), F.struct(F.col("w").alias("v"), F.col("w_c").alias("c"))
+    up = up.select(F.when(F.col("rank") < F.col("w_rank"), F.struct(low.alias("a"), high.alias("b"))).otherwise(F.struct(high.alias("a"), low.alias("b"))).alias("e"))
+    return up.groupBy(F.col("e.a.v").alias("w")).agg(F.collect_list("e.b").alias("u")).select("w", F.col("u.v").alias("uw"), F.col("u.c").alias("uc"))
+
+
+def described(keys: DataFrame) -> DataFrame:
+    """(k, key, w, c, n, uw, uc): each key with its words, the keys that hold each, its partners (null
+    if not attested) and what it may be replaced by."""
+    each = cut(keys.select("k", "key", F.explode(F.array_distinct(F.split("key", " "))).alias("w")))
+    words = cut(each.groupBy("w").agg(F.count(F.lit(1)).alias("c")).join(partners(keys), "w", "left"))
+    full = salted_join(each, words.join(like_words(words), "w", "left"), "w", "inner")
+    met = full.groupBy("k", "key").agg(F.collect_list(F.struct("w", "c", "n", "uw", "uc")).alias("m"))
+    return met.select("k", "key", *[F.col(f"m.{x}").alias(x) for x in ("w", "c", "n", "uw", "uc")])
+
+
+def meetings(options: list[list[tuple[int, str]]]) -> set[tuple[tuple[tuple[int, str], ...], int]]:
+    """(words, mask): the MEET rarest words (of more than 2 * MEET words the rarest) that a name can have
+    with any of the options of each word taken, as sorted (count, word), and bits of those that were replaced.
+    The first option is the word itself."""
+    out = set()
+    top = [max(o) for o in options]
+    size = min(len(options), MEET if len(options) <= 2 * MEET else 1)
+    least = sorted(range(len(options)), key=lambda i: top[i])[: size + 1]
+    for at in combinations(range(len(options)), size):
+        rest = next((top[i] for i in least if i not in at), None)
+        for taken in product(*(enumerate(options[i]) for i in at)):
+            chosen = sorted((o, j > 0) for j, o in taken)
+            if rest is not None and rest < chosen[-1][0]:
+                continue  # another word would be among the rarest
+            if rest is None and max(len(o[1]) for o, _ in chosen) < 3:
+                continue  # the longest words of the shorter name and its partner have three letters
+            words = tuple(o for o, _ in chosen)
+            mask = sum(1 << i for i, (o, new) in enumerate(chosen) if new and words.count(o) == 1)
+            out.add((words, mask))
+    return out
+
+
+def meeting_rows(names: DataFrame) -> DataFrame:
+    """(h, k, m): the buckets of each key. Of any two keys that ``monge_elkan`` accepts each word of the
+    shorter one is like a word of the longer one, so they meet in a bucket: if of each two
+    such words that differ one is replaced by the other, and the longer key's word without partner
+    (never its longest) left out. m: bits of the words replaced and of leaving out; rows with a common bit need not be compared.
+
+    names: ``described``."""
+    left_out = 1 << MEET
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import xxhash
+
+        def of_key(key: str, options: dict[str, list[tuple[int, str]]]) -> set[tuple]:
+            words = key.split(" ")
+            if len(words) < 2:
+                return set()
+            each = [options[w] for w in words]
+            rows = {(len(words), x, m) for x, m in meetings(each)}
+            if len(words) > 2:
+                longest = max(range(len(words)), key=lambda j: len(words[j]))
+                for i in range(len(words)):
+                    if i != longest:
+                        rows |= {(len(words) - 1, x, m | left_out) for x, m in meetings(each[:i] + each[i + 1 :])}
+            return rows
+
+        for whole in batches:
+            for at in range(0, whole.num_rows, 500):
+                ids, hs, masks = [], [], []
+                for k, key, ws, cs, uws, ucs in zip(*(c.to_pylist() for c in whole.slice(at, 500).columns)):
+                    for n, x, m in of_key(key, {w: [(c, w), *zip(uc or (), uw or ())] for w, c, uw, uc in zip(ws, cs, uws, ucs)}):
+                        ids.append(k)
+                        hs.append(xxhash.xxh64_intdigest(f"{n} {' '.join(w for _, w in x)}"))
+                        masks.append(m)
+                yield pa.RecordBatch.from_arrays([pa.array(np.array(hs, dtype=np.uint64).view(np.int64)), pa.array(ids, pa.int64()), pa.array(masks, pa.int32())], names=["h", "k", "m"])
+
+    return spread(names.select("k", "key", "w", "c", "uw", "uc"), "k").mapInArrow(run, "h bigint, k bigint, m int")
+
+
 def collisions(rows: DataFrame, rows_limit: int = BUCKET_ROWS) -> DataFrame:
-    """(l, r), l smaller, distinct: ids that share a bucket. Buckets of one row go first; a bucket
-    of more than ``rows_limit`` rows is split, and each part meets the whole bucket in a task of its own."""
-    shared, seen = cut_measured(rows.groupBy("h").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), top=F.max("n"))
+    """(l, r), l smaller, distinct: ids that share a bucket and, if rows have masks m, no bit there. Buckets
+    without two such rows go first; a bucket of more than ``rows_limit`` rows is split, and each part meets the
+    whole bucket in a task of its own."""
+    if "m" not in rows.columns:
+        rows = rows.withColumn("m", F.lit(0))
+    shared, seen = cut_measured(rows.groupBy("h").agg(F.count(F.lit(1)).alias("n"), F.bit_and("m").alias("m")).filter("n > 1 AND m = 0"), top=F.max("n"))
     live = rows.join(shared.select("h"), "h")
-    left, right = live.select("h", F.col("k").alias("l")), live.select("h", F.col("k").alias("r"))
+    left, right = live.select("h", F.col("k").alias("l"), F.col("m").alias("l_m")), live.select("h", F.col("k").alias("r"), F.col("m").alias("r_m"))
     met = salted_join(left, right, "h", "inner", rows_limit) if (seen["top"] or 0) > rows_limit else left.join(right, "h")
-    return met.filter("l < r").select("l", "r").distinct()
+    return met.filter("l < r AND l_m & r_m = 0").select("l", "r").distinct()
 
 
 def verified(keys: DataFrame, bands: int) -> DataFrame:
-    """(a, b, sim): candidate classes whose Monge-Elkan similarity is at least ACCEPT.
+    """(a, b, sim): classes that share a band and whose Monge-Elkan similarity is at least ACCEPT.
 
     keys (k, key, weight), k unique."""
-    pairs = collisions(cut(band_rows(keys, bands)))
-    text = lambda side, c: keys.select(F.col("k").alias(side), F.col("key").alias(c), bare_words(F.col("key")).alias(f"{c}_words"))
-    likely = pairs.join(text("l", "a"), "l").join(text("r", "b"), "r").filter(possible(F.col("a_words"), F.col("b_words"))).select("a", "b")
-    known = cut(attested(keys))
-    of = lambda c: known.select(F.col("key").alias(c), F.col("known").alias(f"{c}_w"), F.col("counts").alias(f"{c}_n"))
-    full = likely.join(of("a"), "a").join(of("b"), "b").select("a", "b", "a_w", "a_n", "b_w", "b_n")
+    names = cut(described(keys))
+    pairs = collisions(cut(meeting_rows(names)))
+    of = lambda side, c: names.select(F.col("k").alias(side), F.col("key").alias(c), F.col("w").alias(f"{c}_w"), F.col("n").alias(f"{c}_n"))
+    full = pairs.join(of("l", "a"), "l").join(of("r", "b"), "r").select("a", "b", "a_w", "a_n", "b_w", "b_n")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sign = lru_cache(20_000)(signer(bands))
+        known = lambda words, counts: {w: n for w, n in zip(words, counts) if n}
         for b in batches:
             out = []
             for x, y, p, m, q, n in zip(*(c.to_pylist() for c in b.columns)):
-                sim = monge_elkan(x, y, dict(zip(p, m)), dict(zip(q, n)))
-                if sim >= ACCEPT:
+                sim = monge_elkan(x, y, known(p, m), known(q, n))
+                if sim >= ACCEPT and (sign(x) == sign(y)).any():
                     out.append((x, y, sim))
             yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in out], pa.string()), pa.array([r[1] for r in out], pa.string()), pa.array([r[2] for r in out], pa.float64())], names=["a", "b", "sim"])
 

@@ -153,6 +153,61 @@ def test_name_search_against_brute_force(spark):
     assert names.collisions(rows, 5).count() == names.collisions(rows).count()
 
 
+def mixed_names(n, seed):
+    """Names of two to five words with the ways in which words may be alike: errors, initials, words cut short or left out, everyday forms."""
+    rng = random.Random(seed)
+    last = ["".join(rng.choice(["ba", "ker", "zo", "mi", "tur", "ra", "nem"]) for _ in range(rng.randrange(2, 5))) for _ in range(n // 6)]
+    given, kinds = ["anna", "tibor", "sandor", "istvan", "katalin", "bea"], ["intezet", "kutatocsoport", "osztaly", "muhely"]
+    keys = set()
+    for _ in range(n):
+        words = [rng.choice(last), rng.choice(given)] if rng.random() < 0.7 else [*rng.sample(last, rng.randrange(1, 4)), *rng.sample(kinds, rng.randrange(1, 3))]
+        for _ in range(rng.choice([0, 0, 1, 2])):
+            i = rng.randrange(len(words))
+            w, j = words[i], rng.randrange(len(words[i]))
+            words[i] = rng.choice([w[:j] + w[j + 1 :], w[:j] + "x" + w[j:], w[:j] + w[j : j + 2][::-1] + w[j + 2 :], w[0], w[:3] + ".", w[0] + w[2:4] + ".", w[:4], w.replace("m", "rn"), w + "ja", "kati", "pista", words[0]]) or w
+        if len(words) > 2 and rng.random() < 0.2:
+            words.pop(rng.randrange(len(words)))
+        keys.add(" ".join(sorted(words)))
+    return sorted(keys)
+
+
+def test_name_search_finds_all_that_verification_accepts(spark, monkeypatch):
+    """Against all pairs: whatever words differ and wherever hubs begin, with a band in common or not."""
+    long = [f"w{chr(97 + i)}lorum{chr(110 + i)}is" for i in range(9)]
+    keys = sorted({*mixed_names(900, 3), *(" ".join(sorted(x)) for x in (long, long[1:], [*long[:8], "w"], ["xwalorumnis", *long[1:]], [long[0][:5] + ".", *long[1:]]))})
+    table = spark.createDataFrame([(k, i, 1) for i, k in enumerate(keys)], "key string, k bigint, weight bigint")
+    known = {r.key: dict(zip(r.known, r.counts)) for r in names.attested(table).collect()}
+    sure = {(i, j): sim for j, b in enumerate(keys) for i, a in enumerate(keys[:j]) if (sim := names.monge_elkan(a, b, known[a], known[b])) >= names.ACCEPT}
+    words = [(len(keys[i].split()), len(keys[j].split())) for i, j in sure]
+    assert len(sure) > 300 and {x - y for x, y in words} == {-1, 0, 1} and max(map(max, words)) > names.MEET
+    for hub in (names.HUB, 3):
+        monkeypatch.setattr(names, "HUB", hub)
+        met = {(r.l, r.r) for r in names.collisions(names.meeting_rows(names.described(table))).collect()}
+        assert sure.keys() <= met and len(met) < 5 * len(sure)
+    marks = [names.signer(names.bands_for())(k) for k in keys]
+    want = {frozenset((keys[i], keys[j])): sim for (i, j), sim in sure.items() if (marks[i] == marks[j]).any()}
+    assert {frozenset((r.a, r.b)): r.sim for r in names.verified(table, names.bands_for()).collect()} == want
+
+
+def test_name_search_holds_few_rows_a_name(spark, monkeypatch):
+    """Nearly all pairs of names with the same given name share a band; the search holds none of those."""
+    rng = random.Random(6)
+    last = sorted({"".join(rng.choice(["ba", "ke", "zo", "mi", "tu", "ra", "ne"]) for _ in range(3)) for _ in range(400)})
+    keys = [" ".join(sorted((s, g))) for s in last for g in ("szilveszter", "krisztina", "bernadett", "alexandra")]
+    table = spark.createDataFrame([(k, i, 1) for i, k in enumerate(keys)], "key string, k bigint, weight bigint")
+    held, search = [], names.collisions
+
+    def counted(rows, *limit):
+        pairs = search(rows, *limit)
+        held.append(rows.count() + pairs.count())
+        return pairs
+
+    monkeypatch.setattr(names, "collisions", counted)
+    names.verified(table, names.bands_for()).collect()
+    assert held and sum(held) < 10 * len(keys)
+    assert search(names.band_rows(table, names.bands_for())).count() > 20 * len(keys)
+
+
 # 6 projects
 def test_projects(spark):
     rows = [
