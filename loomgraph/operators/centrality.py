@@ -1,10 +1,12 @@
-"""Betweenness and communities, with joins only: no node's graph is held in one task."""
+"""Betweenness and communities. Graphs of up to ``held`` links are walked within tasks (``operators/held.py``), larger
+ones with joins only, so that no task holds them; the results are the same."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from loomgraph.operators.held import HELD, dependency_sums
 from loomgraph.session import cut, cut_measured
 
 
@@ -13,15 +15,20 @@ def _both(edges: DataFrame) -> DataFrame:
     return e.select("a", "b").unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
 
 
-def betweenness(edges: DataFrame, max_depth: int = 100_000) -> DataFrame:
+def betweenness(edges: DataFrame, max_depth: int = 100_000, held: int = HELD) -> DataFrame:
     """(id, betweenness, normalised) of an unweighted, undirected graph, each pair counted once;
     normalised by the number of pairs of other nodes. Paths beyond ``max_depth`` raise.
 
-    Brandes' method for all sources at once: breadth-first levels carry the
-    number of shortest paths, dependencies flow back level by level. States are
-    (source, node) pairs, so the work is nodes times edges by nature.
+    Brandes' method: breadth-first levels carry the number of shortest paths,
+    dependencies flow back level by level; the work is nodes times edges by
+    nature. A graph of up to ``held`` links is walked source by source within
+    tasks; beyond that all sources are joined at once, with states of (source,
+    node) pairs.
     """
-    both = cut(_both(edges))
+    both, size = cut_measured(_both(edges), n=F.count(F.lit(1)))
+    if size["n"] <= held:
+        nodes, sums = dependency_sums(both, max_depth)
+        return _scored(nodes, sums.join(nodes, "k").select("id", (F.col("delta") / 2).alias("betweenness")))
     level = cut(both.select(F.col("a").alias("s")).distinct().select("s", F.col("s").alias("v"), F.lit(1.0).alias("sigma")))
     levels = [level]
     for _ in range(max_depth):
@@ -42,12 +49,16 @@ def betweenness(edges: DataFrame, max_depth: int = 100_000) -> DataFrame:
         to = give.select("s", F.col("b").alias("v"), "c").join(levels[k - 1], ["s", "v"])
         below = cut(to.groupBy("s", "v").agg(F.sum(F.col("sigma") * F.col("c")).alias("delta")))
     nodes = levels[0].select(F.col("v").alias("id"))
+    return _scored(nodes, total and total.groupBy(F.col("v").alias("id")).agg((F.sum("delta") / 2).alias("betweenness")))
+
+
+def _scored(nodes: DataFrame, sums: DataFrame | None) -> DataFrame:
+    """(id, betweenness, normalised) of all nodes (id); zero where sums (id, betweenness) has no row."""
     others = nodes.count()
     pairs = (others - 1) * (others - 2) / 2
     of = lambda c: (c / pairs if pairs else F.lit(0.0)).alias("normalised")
-    if total is None:
+    if sums is None:
         return nodes.select("id", F.lit(0.0).alias("betweenness"), F.lit(0.0).alias("normalised"))
-    sums = total.groupBy(F.col("v").alias("id")).agg((F.sum("delta") / 2).alias("betweenness"))
     between = F.coalesce("betweenness", F.lit(0.0))
     return nodes.join(sums, "id", "left").select("id", between.alias("betweenness"), of(between))
 
