@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomgraph.operators.held import HELD, dependency_sums
+from loomgraph.operators.held import HELD, dependency_sums, settled
 from loomgraph.session import cut, cut_measured
 
 
@@ -63,7 +63,7 @@ def _scored(nodes: DataFrame, sums: DataFrame | None) -> DataFrame:
     return nodes.join(sums, "id", "left").select("id", between.alias("betweenness"), of(between))
 
 
-def communities(edges: DataFrame, seed: int = 0, max_rounds: int = 200) -> DataFrame:
+def communities(edges: DataFrame, seed: int = 0, max_rounds: int = 200, held: int = HELD) -> DataFrame:
     """(id, community) by modularity: local moves until none gains, then communities become nodes, and so on.
 
     edges (src, dst) or (src, dst, weight). In a round the nodes of one half (by
@@ -71,19 +71,20 @@ def communities(edges: DataFrame, seed: int = 0, max_rounds: int = 200) -> DataF
     greatest positive gain; halves keep neighbours from swapping places. A level
     ends when two rounds in a row, one for each half, move nobody; the whole ends
     when a level leaves every node alone. Communities are numbered by size, then
-    by their least member. ``max_rounds`` of one level without an end raise.
+    by their least member. ``max_rounds`` of one level without an end raise. The
+    levels of up to ``held`` links are settled in one task, those before by joins.
     """
     w = F.col("weight") if "weight" in edges.columns else F.lit(1.0)
     e = edges.filter("src <> dst").groupBy(F.least("src", "dst").alias("a"), F.greatest("src", "dst").alias("b")).agg(F.max(w).alias("w"))
-    level, _ = cut_measured(e.select("a", "b", "w").unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b"), "w")), n=F.count(F.lit(1)))
+    level, size = cut_measured(e.select("a", "b", "w").unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b"), "w")), n=F.count(F.lit(1)))
     members = None
     while True:
-        place, moved = _moves(level, seed, max_rounds)
+        place, moved = (settled(level, seed, max_rounds), False) if size["n"] <= held else _moves(level, seed, max_rounds)
         members = place if members is None else cut(members.withColumnRenamed("c", "m").join(place.withColumnRenamed("id", "m"), "m").select("id", "c"))
         if not moved:
             break
         of = lambda end: place.select(F.col("id").alias(end), F.col("c").alias(f"c{end}"))
-        level = cut(level.join(of("a"), "a").join(of("b"), "b").groupBy(F.col("ca").alias("a"), F.col("cb").alias("b")).agg(F.sum("w").alias("w")))
+        level, size = cut_measured(level.join(of("a"), "a").join(of("b"), "b").groupBy(F.col("ca").alias("a"), F.col("cb").alias("b")).agg(F.sum("w").alias("w")), n=F.count(F.lit(1)))
     sizes = members.groupBy("c").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("least"))
     from pyspark.sql import Window
 

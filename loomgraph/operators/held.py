@@ -117,3 +117,81 @@ def dependency_sums(both: DataFrame, max_depth: int) -> tuple[DataFrame, DataFra
     sums = cut(spark.range(0, n, 1, tasks).mapInArrow(run, "k bigint, delta double").groupBy("k").agg(F.sum("delta").alias("delta")))
     links.destroy()
     return nodes, sums
+
+
+def _hashed(value: int, seeds: np.ndarray) -> np.ndarray:
+    """Spark's ``xxhash64`` of an int after other columns, whose hashes are ``seeds``."""
+    one, two, three, five = (np.uint64(x) for x in (0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5))
+    u = np.uint64
+    h = (seeds.view(np.uint64) + five + u(4)) ^ np.array([value], np.uint64) * one
+    h = (h << u(23) | h >> u(41)) * two + three
+    h = (h ^ h >> u(33)) * two
+    h = (h ^ h >> u(29)) * three
+    return (h ^ h >> u(32)).view(np.int64)
+
+
+def _sums(key: np.ndarray, value: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each key once, in order, and the sum of its values."""
+    order = np.argsort(key, kind="stable")
+    key = key[order]
+    first = np.flatnonzero(np.r_[True, key[1:] != key[:-1]]) if len(key) else np.zeros(0, np.int64)
+    return key[first], np.add.reduceat(value[order], first) if len(first) else np.zeros(0)
+
+
+def moves(a: np.ndarray, b: np.ndarray, w: np.ndarray, hashes: np.ndarray, max_rounds: int) -> tuple[np.ndarray, bool]:
+    """The rounds of ``centrality._moves`` over arrays: the community of each node, and whether anybody moved.
+
+    Links both ways, loops once; nodes and communities are places in ``hashes`` (of their names and the seed).
+    """
+    n = len(hashes)
+    degree, place = np.bincount(a, w, n), np.arange(n)
+    if not (twice_m := degree.sum()):
+        return place, False
+    apart = a != b
+    nodes, (a, b, w) = np.unique(a), (x[apart] for x in (a, b, w))
+    ever, quiet = False, 0
+    for k in range(max_rounds):
+        turn = (_hashed(k // 2, hashes) & 1) == k % 2
+        mine, ours = np.flatnonzero(turn[a]), nodes[turn[nodes]]
+        key, links = _sums(np.r_[a[mine] * n + place[b[mine]], ours * n + place[ours]], np.r_[w[mine], np.zeros(len(ours))])
+        v, c = key // n, key % n
+        stays = c == place[v]
+        gain = links - degree[v] * (np.bincount(place, degree, n)[c] - np.where(stays, degree[v], 0)) / twice_m
+        first = np.flatnonzero(np.r_[True, v[1:] != v[:-1]]) if len(v) else v
+        now, rounded = gain[stays], np.round(gain, 9)
+        best = np.maximum.reduceat(rounded, first) if len(first) else now
+        goes = np.repeat(best > now + 1e-9, np.diff(np.r_[first, len(v)]))
+        top = np.flatnonzero(goes & (rounded == np.repeat(best, np.diff(np.r_[first, len(v)]))))
+        top = top[np.lexsort((c[top], -hashes[c[top]], v[top]))]  # of several the last of a node
+        place = place.copy()
+        place[v[top]] = c[top]
+        ever, quiet = ever or len(top) > 0, 0 if len(top) else quiet + 1
+        if quiet == 2:
+            return place, ever
+    raise RuntimeError("no fixpoint within max_rounds")
+
+
+def settled(links: DataFrame, seed: int, max_rounds: int) -> DataFrame:
+    """(id, c) after all levels of ``centrality.communities`` over links (a, b, w), at most ``HELD``, in one task."""
+    kind = links.schema["a"].dataType.simpleString()
+
+    def run(batches):
+        found = _numbered(batches)
+        if found is None:
+            return
+        rows, names, a, b = found
+        w, hashes = rows["w"].to_numpy(), np.zeros(len(names), np.int64)
+        hashes[a] = rows["h"].to_numpy()
+        n, of = len(names), np.arange(len(names))
+        while True:
+            place, moved = moves(a, b, w, hashes, max_rounds)
+            of = place[of]
+            if not moved:
+                break
+            key, w = _sums(place[a] * n + place[b], w)
+            a, b = key // n, key % n
+        for at in range(0, n, 10_000):
+            yield pa.record_batch([names.slice(at, 10_000), names.take(pa.array(of[at : at + 10_000]))], ["id", "c"])
+
+    hashed = links.select("a", "b", F.col("w").cast("double").alias("w"), F.xxhash64("a", F.lit(seed)).alias("h"))
+    return cut(hashed.coalesce(1).mapInArrow(run, f"id {kind}, c {kind}"))
