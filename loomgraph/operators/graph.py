@@ -144,6 +144,28 @@ def top_ancestors(units: DataFrame, part_of: DataFrame) -> DataFrame:
     return all_up.join(inner, "top", "left_anti").select("node", "top")
 
 
+def bridges(people: DataFrame, tops: DataFrame, membership: DataFrame) -> DataFrame:
+    """(top_a, top_b, projects): in how many projects people under both tops take part.
+
+    people (person, node), tops (node, top), membership (project, person). Units
+    under the same tops are of one kind. Projects of the same kinds, then of the
+    same tops, are counted together before tops are paired: pairs grow with the
+    square of the tops, and in a hierarchy of many parents most projects have the same.
+    """
+    sets = tops.groupBy("node").agg(F.array_sort(F.collect_set("top")).alias("tops"))
+    kinds = cut(sets.join(sets.groupBy("tops").agg(F.min("node").alias("kind")), "tops").select("node", "kind", "tops"))
+    placed = people.join(kinds.select("node", "kind"), "node").select("person", "kind").distinct()
+    takes_part = placed.join(membership, "person").select("project", "kind").distinct()
+    same = lambda df, key: df.groupBy(key).agg(F.min("project").alias("project"), F.sum("n").alias("n"))
+    by_kinds = cut(same(takes_part.groupBy("project").agg(F.array_sort(F.collect_set("kind")).alias("kinds"), F.lit(1).alias("n")), "kinds"))
+    under = kinds.filter("node = kind").select("kind", F.explode("tops").alias("top"))
+    wide = by_kinds.select("project", "n", F.explode("kinds").alias("kind")).join(under, "kind")
+    by_tops = cut(same(wide.groupBy("project").agg(F.array_sort(F.collect_set("top")).alias("tops"), F.max("n").alias("n")), "tops"))
+    at = by_tops.select("project", "n", F.explode("tops").alias("top"))
+    pairs = at.alias("l").join(at.alias("r"), (F.col("l.project") == F.col("r.project")) & (F.col("l.top") < F.col("r.top")))
+    return pairs.groupBy(F.col("l.top").alias("top_a"), F.col("r.top").alias("top_b")).agg(F.sum("l.n").alias("projects"))
+
+
 def label_agreement(pairs: DataFrame, a: str, b: str) -> DataFrame:
     """One row (n, nmi_millionths): normalised mutual information of two labelings, arithmetic mean of the entropies.
 

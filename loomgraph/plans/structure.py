@@ -294,9 +294,7 @@ def slice_stats(spark, d):
 def unit_tree_bridges(spark, d):
     """Projects that bridge two unit trees: people under one top and people under another take part."""
     r = relations(spark, d, "AFFILIATED_WITH", "MEMBER_OF").select(F.col("source_id").alias("person"), F.col("target_id").alias("node"))
-    pt = r.join(unit_tops(spark, d), "node").select("person", "top").distinct()
-    tp = cut(pt.join(membership(spark, d), "person").select("top", "project").distinct())
-    return tp.alias("l").join(tp.alias("r"), (F.col("l.project") == F.col("r.project")) & (F.col("l.top") < F.col("r.top"))).groupBy(F.col("l.top").alias("top_a"), F.col("r.top").alias("top_b")).agg(F.countDistinct("l.project").alias("projects"))
+    return G.bridges(r, unit_tops(spark, d), membership(spark, d))
 
 
 QUERIES, ORACLES = R.queries, R.oracles
